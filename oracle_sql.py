@@ -341,6 +341,287 @@ FROM j
 """)
 
 
+
+
+# ---------------------------------------------------------------------------
+# Single-operator queries
+# ---------------------------------------------------------------------------
+OP_SQL: dict[str, str] = {}
+_NEWEST = "ORDER BY file_year DESC, file_date DESC"
+
+OP_SQL["latest_per_entity"] = with_fixture(f"""
+SELECT plant_code, generator_id, file_year, utility_id,
+       CAST(nameplate_capacity_mw AS DOUBLE) AS nameplate_capacity_mw
+FROM generator_operable
+QUALIFY row_number() OVER (PARTITION BY plant_code, generator_id {_NEWEST}) = 1
+""")
+
+OP_SQL["latest_per_group_tiebreak"] = with_fixture(f"""
+SELECT plant_code, generator_id, file_year, state, technology
+FROM generator_operable
+QUALIFY row_number() OVER (PARTITION BY plant_code {_NEWEST}, generator_id) = 1
+""")
+
+OP_SQL["latest_per_entity_year"] = with_fixture("""
+SELECT plant_code, generator_id, file_year, CAST(nameplate_capacity_mw AS DOUBLE) AS nameplate_capacity_mw
+FROM energystorage_operable
+QUALIFY row_number() OVER (PARTITION BY plant_code, generator_id, file_year ORDER BY file_date DESC) = 1
+""")
+
+OP_SQL["change_from_previous"] = with_fixture("""
+per_year AS (SELECT state, file_year, sum(nameplate_capacity_mw) AS cap
+             FROM generator_operable GROUP BY state, file_year)
+SELECT state, file_year, CAST(cap AS DOUBLE) AS capacity_mw,
+       CAST(cap - lag(cap) OVER (PARTITION BY state ORDER BY file_year) AS DOUBLE) AS change_mw
+FROM per_year
+""")
+
+OP_SQL["share_of_group"] = with_fixture(f"""
+per_fuel AS (SELECT state, energy_source_1 AS fuel_type, sum(nameplate_capacity_mw) AS cap
+             FROM generator_operable GROUP BY 1, 2)
+SELECT state, fuel_type, CAST(cap AS DOUBLE) AS capacity_mw,
+       {pct('cap', 'sum(cap) OVER (PARTITION BY state)')} AS pct_of_state_capacity
+FROM per_fuel
+""")
+
+OP_SQL["project_alias"] = with_fixture("""
+SELECT utility_id, plant_code AS plant, plant_name AS name, file_year,
+       'Solar' AS fuel_type, CAST(0 AS DOUBLE) AS zero_mw
+FROM solar_operable
+""")
+
+OP_SQL["in_list"] = with_fixture(f"""
+SELECT plant_code, generator_id, file_year, energy_source_1
+FROM generator_operable WHERE energy_source_1 IN {RENEWABLE}
+""")
+
+OP_SQL["any_of_membership"] = with_fixture(f"""
+SELECT plant_code, generator_id, file_year, energy_source_1, energy_source_2
+FROM generator_operable WHERE {ANY_BIOMASS}
+""")
+
+OP_SQL["not_null_compare"] = with_fixture("""
+SELECT plant_code, generator_id, file_year, operating_year
+FROM generator_operable
+WHERE nameplate_capacity_mw IS NOT NULL AND operating_year >= 1980
+  AND file_year > 1996 AND file_year <= 2000
+""")
+
+OP_SQL["regex_guarded_cast"] = with_fixture("""
+SELECT plant_code, generator_id, file_year, retirement_year,
+       coalesce(regexp_matches(retirement_year, '^[0-9]{4}$'), false) AS is_year,
+       CASE WHEN regexp_matches(retirement_year, '^[0-9]{4}$')
+            THEN TRY_CAST(retirement_year AS INTEGER) END AS retirement_year_int
+FROM generator_retired
+""")
+
+OP_SQL["recency_band"] = with_fixture(f"""
+SELECT plant_code, generator_id, file_year, current_year
+FROM generator_proposed
+WHERE current_year BETWEEN {MAX_YEAR} - 3 AND {MAX_YEAR}
+""")
+
+OP_SQL["derived_predicate"] = with_fixture("""
+SELECT plant_code, generator_id, file_year, CAST(coalesce(nameplate_capacity_mw, 0) AS DOUBLE) AS mw_or_zero
+FROM generator_operable WHERE coalesce(nameplate_capacity_mw, 0) >= 100000
+""")
+
+OP_SQL["coalesce_nullif_round"] = with_fixture("""
+per_plant AS (SELECT plant_code, sum(nameplate_capacity_mw) AS mw, count(nameplate_capacity_mw) AS n
+              FROM solar_operable GROUP BY plant_code)
+SELECT plant_code, CAST(coalesce(mw, 0) AS DOUBLE) AS total_mw,
+       CAST(round(mw, 0) AS DOUBLE) AS rounded_mw,
+       CAST(mw AS DOUBLE) / NULLIF(CAST(n AS DOUBLE), 0) AS mw_per_unit
+FROM per_plant
+""")
+
+OP_SQL["case_upper"] = with_fixture(f"""
+SELECT plant_code, generator_id, file_year,
+       upper(coalesce(lower(energy_source_1), '')) AS fuel_code,
+       CASE WHEN upper(coalesce(lower(energy_source_1), '')) IN {RENEWABLE} THEN 'renewable'
+            WHEN upper(coalesce(lower(energy_source_1), '')) IN {FOSSIL} THEN 'fossil'
+            ELSE 'other' END AS fuel_class
+FROM generator_retired
+""")
+
+OP_SQL["arithmetic_casts"] = with_fixture("""
+SELECT plant_code, generator_id, file_year,
+       operating_year + 1 AS next_year,
+       file_year - operating_year AS age,
+       CAST(nameplate_capacity_mw * 2 AS DOUBLE) AS double_mw,
+       CAST(nameplate_capacity_mw - CAST(0 AS DECIMAL(38,6)) AS DOUBLE) AS same_mw,
+       CAST(CAST(nameplate_capacity_mw / 1000 AS DECIMAL(38,6)) AS DOUBLE) AS gw
+FROM generator_operable
+""")
+
+OP_SQL["global_count"] = with_fixture("SELECT count(*) AS n_rows FROM generator_operable")
+
+OP_SQL["count_distinct_null"] = with_fixture("""
+SELECT state, count(DISTINCT technology) AS technologies FROM generator_operable GROUP BY state
+""")
+
+OP_SQL["count_filter"] = with_fixture("""
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE nameplate_capacity_mw IS NULL) AS n_missing_mw
+FROM generator_operable
+""")
+
+OP_SQL["grouped_sum"] = with_fixture("""
+SELECT file_year, state, technology, CAST(sum(nameplate_capacity_mw) AS DOUBLE) AS capacity_mw
+FROM generator_operable GROUP BY 1, 2, 3
+""")
+
+OP_SQL["conditional_sum"] = with_fixture(f"""
+SELECT state,
+  CAST(sum(CASE WHEN {_UP} IN {RENEWABLE} THEN nameplate_capacity_mw ELSE 0 END) AS DOUBLE) AS retired_renew_mw,
+  CAST(sum(CASE WHEN {_UP} IN {FOSSIL} THEN nameplate_capacity_mw ELSE 0 END) AS DOUBLE) AS retired_fossil_mw
+FROM generator_retired GROUP BY state
+""")
+
+OP_SQL["global_max"] = with_fixture("""
+SELECT max(file_year) AS max_year,
+       max(CASE WHEN state = 'none' THEN file_year END) AS max_year_empty
+FROM generator_operable
+""")
+
+OP_SQL["median_by_year"] = with_fixture("""
+SELECT file_year, quantile_cont(CAST(nameplate_capacity_mw AS DOUBLE), 0.5) AS median_mw
+FROM solar_operable GROUP BY file_year
+""")
+
+OP_SQL["group_by_expression"] = with_fixture("""
+SELECT TRY_CAST(retirement_year AS INTEGER) AS year, count(*) AS n,
+       CAST(sum(nameplate_capacity_mw) AS DOUBLE) AS retired_mw
+FROM generator_retired WHERE regexp_matches(retirement_year, '^[0-9]{4}$')
+GROUP BY 1
+""")
+
+OP_SQL["two_stage_rollup"] = with_fixture("""
+per_year AS (SELECT state, county, file_year, sum(nameplate_capacity_mw) AS mw
+             FROM generator_operable GROUP BY 1, 2, 3)
+SELECT state, county, CAST(sum(mw) AS DOUBLE) AS capacity_mw, count(*) AS releases
+FROM per_year GROUP BY 1, 2
+""")
+
+OP_SQL["multi_property_percent"] = with_fixture(f"""
+per_utility AS (SELECT utility_id, count(DISTINCT state) AS states FROM wind_operable GROUP BY 1),
+s AS (SELECT count(*) AS total_utilities, count(*) FILTER (WHERE states > 1) AS multistate_utilities
+      FROM per_utility)
+SELECT total_utilities, multistate_utilities,
+       {pct('multistate_utilities', 'total_utilities')} AS percent_multistate
+FROM s
+""")
+
+OP_SQL["zero_filled_sum"] = with_fixture("""
+SELECT plant_code, CAST(coalesce(sum(nameplate_capacity_mw), 0) AS DOUBLE) AS mw
+FROM solar_operable GROUP BY plant_code
+""")
+
+OP_SQL["left_join_one_key"] = with_fixture("""
+s AS (SELECT utility_id, utility_name, sum(nameplate_capacity_mw) AS solar_mw FROM solar_operable GROUP BY 1, 2),
+w AS (SELECT utility_id, sum(nameplate_capacity_mw) AS wind_mw FROM wind_operable GROUP BY 1)
+SELECT s.utility_id, s.utility_name, CAST(s.solar_mw AS DOUBLE) AS solar_mw, CAST(w.wind_mw AS DOUBLE) AS wind_mw
+FROM s LEFT JOIN w ON s.utility_id = w.utility_id
+""")
+
+OP_SQL["left_join_chain"] = with_fixture("""
+t AS (SELECT file_year, state, sum(nameplate_capacity_mw) AS total_mw FROM generator_operable GROUP BY 1, 2),
+s AS (SELECT file_year, state, sum(nameplate_capacity_mw) AS solar_mw FROM solar_operable GROUP BY 1, 2),
+w AS (SELECT file_year, state, sum(nameplate_capacity_mw) AS wind_mw FROM wind_operable GROUP BY 1, 2),
+e AS (SELECT file_year, state, sum(nameplate_capacity_mw) AS storage_mw FROM energystorage_operable GROUP BY 1, 2)
+SELECT t.file_year, t.state, CAST(t.total_mw AS DOUBLE) AS total_mw, CAST(s.solar_mw AS DOUBLE) AS solar_mw,
+       CAST(w.wind_mw AS DOUBLE) AS wind_mw, CAST(e.storage_mw AS DOUBLE) AS storage_mw
+FROM t
+LEFT JOIN s ON s.file_year = t.file_year AND s.state = t.state
+LEFT JOIN w ON w.file_year = t.file_year AND w.state = t.state
+LEFT JOIN e ON e.file_year = t.file_year AND e.state = t.state
+""")
+
+_RET_PROP = """
+r AS (SELECT state, county, sum(nameplate_capacity_mw) AS retired_mw FROM generator_retired GROUP BY 1, 2),
+p AS (SELECT state, county, sum(nameplate_capacity_mw) AS proposed_mw FROM generator_proposed GROUP BY 1, 2),
+q AS (SELECT state, county, sum(nameplate_capacity_mw) AS proposed_storage_mw
+      FROM energystorage_proposed GROUP BY 1, 2)"""
+
+OP_SQL["full_outer_two_key"] = with_fixture(_RET_PROP + """
+SELECT coalesce(r.state, p.state) AS state, coalesce(r.county, p.county) AS county,
+       CAST(r.retired_mw AS DOUBLE) AS retired_mw, CAST(p.proposed_mw AS DOUBLE) AS proposed_mw
+FROM r FULL OUTER JOIN p ON r.state = p.state AND r.county = p.county
+""")
+
+OP_SQL["full_outer_coalesced_key"] = with_fixture(_RET_PROP + """
+SELECT coalesce(r.state, p.state, q.state) AS state, coalesce(r.county, p.county, q.county) AS county,
+       CAST(r.retired_mw AS DOUBLE) AS retired_mw, CAST(p.proposed_mw AS DOUBLE) AS proposed_mw,
+       CAST(q.proposed_storage_mw AS DOUBLE) AS proposed_storage_mw
+FROM r FULL OUTER JOIN p ON r.state = p.state AND r.county = p.county
+FULL OUTER JOIN q ON coalesce(r.state, p.state) = q.state AND coalesce(r.county, p.county) = q.county
+""")
+
+OP_SQL["latest_year_filter"] = with_fixture(f"""
+SELECT state, count(*) AS generators FROM generator_operable
+WHERE file_year = {MAX_YEAR} GROUP BY state
+""")
+
+OP_SQL["cross_one_row"] = with_fixture("""
+params AS (SELECT max(file_year) AS max_year FROM generator_operable)
+SELECT g.file_year, p.max_year, count(*) AS generators
+FROM generator_operable g JOIN params p ON TRUE
+WHERE g.file_year >= p.max_year - 3
+GROUP BY 1, 2
+""")
+
+OP_SQL["scalar_subquery"] = with_fixture(f"""
+SELECT plant_code, generator_id, file_year, {MAX_YEAR} AS max_year,
+       {MAX_YEAR} - file_year AS releases_behind
+FROM generator_operable
+""")
+
+OP_SQL["union_two"] = with_fixture("""
+SELECT utility_id, file_year, CAST(nameplate_capacity_mw AS DOUBLE) AS nameplate_capacity_mw FROM wind_operable
+UNION ALL
+SELECT utility_id, file_year, CAST(nameplate_capacity_mw AS DOUBLE) FROM solar_operable
+""")
+
+OP_SQL["union_tagged"] = with_fixture("""
+SELECT state, 'Generator' AS kind, CAST(nameplate_capacity_mw AS DOUBLE) AS nameplate_capacity_mw
+FROM generator_operable
+UNION ALL SELECT state, 'Solar', CAST(nameplate_capacity_mw AS DOUBLE) FROM solar_operable
+UNION ALL SELECT state, 'Wind', CAST(nameplate_capacity_mw AS DOUBLE) FROM wind_operable
+""")
+
+
+def _ret_year(table: str, m: str) -> str:
+    return f"""
+  SELECT state, county, TRY_CAST(retirement_year AS INTEGER) AS year,
+         coalesce(sum(nameplate_capacity_mw), 0) AS {m}
+  FROM {table}
+  WHERE retirement_year IS NOT NULL AND regexp_matches(retirement_year, '^[0-9]{{4}}$')
+    AND TRY_CAST(retirement_year AS INTEGER) BETWEEN {MAX_YEAR} - 3 AND {MAX_YEAR}
+  GROUP BY 1, 2, 3"""
+
+
+OP_SQL["union_zero_padded"] = with_fixture(f"""
+a AS ({_ret_year('generator_retired', 'm')}),
+b AS ({_ret_year('solar_retired', 'm')}),
+c AS ({_ret_year('wind_retired', 'm')}),
+d AS ({_ret_year('energystorage_retired', 'm')})
+SELECT state, county, year, CAST(m AS DOUBLE) AS gen_mw, 0.0::DOUBLE AS solar_mw,
+       0.0::DOUBLE AS wind_mw, 0.0::DOUBLE AS storage_mw FROM a
+UNION ALL SELECT state, county, year, 0, CAST(m AS DOUBLE), 0, 0 FROM b
+UNION ALL SELECT state, county, year, 0, 0, CAST(m AS DOUBLE), 0 FROM c
+UNION ALL SELECT state, county, year, 0, 0, 0, CAST(m AS DOUBLE) FROM d
+""")
+
+OP_SQL["order_nulls"] = with_fixture(f"""
+per_plant AS (SELECT state, county, plant_code, sum(nameplate_capacity_mw) AS cap
+              FROM generator_operable WHERE file_year = {MAX_YEAR} GROUP BY 1, 2, 3)
+SELECT state, county, plant_code, CAST(cap AS DOUBLE) AS capacity_mw,
+       row_number() OVER (PARTITION BY state, county
+                          ORDER BY cap DESC NULLS FIRST, plant_code ASC NULLS LAST) AS position
+FROM per_plant
+""")
+
+
 def all_sql() -> dict[str, str]:
     out = dict(VIEW_SQL)
+    out.update(OP_SQL)
     return out

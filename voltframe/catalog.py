@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from voltframe.fixtures import fixture_tables
 from voltframe.functions.casting import measures_as_double
 from voltframe.plans import views as V
+from voltframe.plans.single_operators import OPERATOR_QUERIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,3 +42,5 @@ QUERIES: dict[str, Query] = {
     "view_i_change": _view(V.penetration_change),
     "view_i_top": _view(V.greatest_penetration_increase),
 }
+
+QUERIES.update({name: _view(fn) for name, fn in OPERATOR_QUERIES.items()})
