@@ -621,7 +621,189 @@ FROM per_plant
 """)
 
 
+# ---------------------------------------------------------------------------
+# Ingest and profiling operators over the release extracts
+# ---------------------------------------------------------------------------
+RELEASES = """
+ord AS (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS file_year,
+         CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+         CAST(o_custkey AS VARCHAR) AS o_custkey,
+         o_orderstatus,
+         CASE WHEN year(o_orderdate) <= 1996
+              THEN '$' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)
+              ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS o_totalprice,
+         o_orderpriority
+  FROM orders),
+ord_early AS (SELECT *, 'order ' || o_orderkey AS o_comment FROM ord WHERE file_year <= 1999),
+ord_late AS (SELECT * EXCLUDE (o_orderpriority) FROM ord WHERE file_year >= 2000),
+li AS (
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS file_year,
+         CAST(l_orderkey AS VARCHAR) AS l_orderkey,
+         CAST(l_linenumber AS VARCHAR) AS l_linenumber,
+         CASE WHEN year(l_shipdate) >= 1999 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)
+              ELSE CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) END AS l_quantity,
+         l_returnflag, l_linestatus
+  FROM lineitem),
+late AS (
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS file_year,
+         CAST(l_orderkey AS VARCHAR) AS l_orderkey,
+         CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate
+  FROM lineitem WHERE year(l_shipdate) >= 2000)"""
+
+_GROUPS = (
+    ("sales.orders", "ord_early",
+     ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_comment")),
+    ("sales.orders", "ord_late", ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")),
+    ("sales.lineitem", "li", ("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")),
+    ("sales.late_lines", "late", ("l_orderkey", "l_shipdate")),
+)
+
+LONG = RELEASES + ",\nlong AS (\n" + "\n  UNION ALL\n".join(
+    f"  SELECT '{table}' AS table_name, file_year, {i} AS position, '{col}' AS column_name, "
+    f"{col} AS value FROM {cte}"
+    for table, cte, cols in _GROUPS for i, col in enumerate(cols)) + ")"
+
+PROFILE = LONG + """,
+pv AS (SELECT table_name, file_year, column_name, position, value, count(*) AS n
+       FROM long GROUP BY ALL),
+stats AS (
+  SELECT table_name, file_year, column_name, min(position) AS position,
+         CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS distinct_count,
+         max(length(value)) AS text_len,
+         count(*) FILTER (WHERE value IS NOT NULL
+                          AND NOT regexp_matches(value, '^\\s*[+-]?[0-9]+\\s*$')) AS not_int,
+         count(*) FILTER (WHERE value IS NOT NULL AND TRY_CAST(value AS DOUBLE) IS NULL) AS not_num
+  FROM pv GROUP BY 1, 2, 3),
+prof AS (
+  SELECT table_name, file_year, column_name, position, n_rows, distinct_count,
+         distinct_count = n_rows AS is_unique,
+         CASE WHEN not_int > 0 AND not_num > 0 THEN CAST(text_len AS BIGINT) END AS max_len,
+         CASE WHEN distinct_count = 2 THEN 'Boolean'
+              WHEN not_int = 0 THEN 'Int64'
+              WHEN not_num = 0 THEN 'Float64'
+              ELSE 'String' END AS col_type
+  FROM stats),
+cons AS (
+  SELECT table_name, column_name,
+         CASE WHEN count(DISTINCT col_type) = 1 THEN min(col_type) ELSE 'String' END AS col_type,
+         min({'y': file_year, 'p': position}) AS first_seen,
+         bool_and(is_unique) AS is_unique
+  FROM prof GROUP BY 1, 2),
+present AS (SELECT table_name, list_sort(list_distinct(list(file_year))) AS years
+            FROM long GROUP BY 1)"""
+
+
+def with_releases(body: str, base: str = PROFILE) -> str:
+    return "WITH " + base.strip() + "\n" + body.strip()
+
+
+INGEST_SQL: dict[str, str] = {}
+INGEST_SQL["profile_table"] = with_releases("SELECT * FROM prof")
+INGEST_SQL["profile_distinct"] = with_releases(
+    "SELECT table_name, file_year, column_name, distinct_count FROM prof")
+INGEST_SQL["profile_max_len"] = with_releases(
+    "SELECT table_name, file_year, column_name, max_len FROM prof")
+INGEST_SQL["profile_unique"] = with_releases(
+    "SELECT table_name, file_year, column_name, n_rows, is_unique FROM prof")
+INGEST_SQL["classify_type"] = with_releases(
+    "SELECT table_name, file_year, column_name, distinct_count, col_type FROM prof")
+INGEST_SQL["consolidate_types"] = with_releases("""
+SELECT table_name, column_name, col_type, first_seen.y AS first_year,
+       first_seen.p AS first_position, is_unique FROM cons""")
+INGEST_SQL["years_present"] = with_releases(
+    "SELECT table_name, array_to_string(years, ',') AS years FROM present")
+INGEST_SQL["missing_years"] = with_releases("""
+SELECT table_name,
+       array_to_string(list_filter(range(1995, 2002), lambda y: NOT list_contains(years, y)), ',')
+         AS missing_years
+FROM present
+WHERE len(list_filter(range(1995, 2002), lambda y: NOT list_contains(years, y))) > 0""")
+INGEST_SQL["render_schema"] = with_releases("""
+SELECT table_name, CAST(count(*) AS INTEGER) AS n_columns,
+       'CREATE TABLE ' || table_name || '(' || chr(10) || chr(9)
+       || string_agg(column_name || ' ' || CASE col_type WHEN 'Int64' THEN 'BIGINT'
+                                                        WHEN 'Float64' THEN 'NUMERIC(18, 6)'
+                                                        WHEN 'Boolean' THEN 'BOOLEAN'
+                                                        ELSE 'VARCHAR' END,
+                     ',' || chr(10) || chr(9) ORDER BY first_seen.y, first_seen.p)
+       || ',' || chr(10) || chr(9) || 'file_year INT NOT NULL'
+       || ',' || chr(10) || chr(9) || 'file_date TIMESTAMP NOT NULL'
+       || ',' || chr(10) || chr(9) || 'upload_timestamp TIMESTAMP DEFAULT CURRENT_TIMESTAMP NOT NULL'
+       || chr(10) || ');' AS ddl
+FROM cons GROUP BY table_name""")
+
+CONFORMED = RELEASES + """,
+conformed AS (
+  SELECT TRY_CAST(o_orderkey AS BIGINT) AS o_orderkey, TRY_CAST(o_custkey AS BIGINT) AS o_custkey,
+         o_orderstatus, TRY_CAST(o_totalprice AS DECIMAL(18,6)) AS o_totalprice,
+         o_orderpriority, CAST(NULL AS VARCHAR) AS o_clerk, file_year
+  FROM ord_early
+  UNION ALL
+  SELECT TRY_CAST(o_orderkey AS BIGINT), TRY_CAST(o_custkey AS BIGINT), o_orderstatus,
+         TRY_CAST(o_totalprice AS DECIMAL(18,6)), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+         file_year
+  FROM ord_late)"""
+
+INGEST_SQL["fill_missing_align"] = with_releases("""
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice,
+       o_orderpriority, o_clerk, file_year FROM conformed""", CONFORMED)
+INGEST_SQL["declared_cast"] = with_releases("""
+SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice, file_year
+FROM conformed""", CONFORMED)
+INGEST_SQL["declared_cast_rejects"] = with_releases("""
+SELECT 'o_orderkey' AS "column", count(*) FILTER (WHERE o_orderkey IS NOT NULL
+                                  AND TRY_CAST(o_orderkey AS BIGINT) IS NULL) AS rejected FROM ord
+UNION ALL
+SELECT 'o_custkey', count(*) FILTER (WHERE o_custkey IS NOT NULL
+                                     AND TRY_CAST(o_custkey AS BIGINT) IS NULL) FROM ord
+UNION ALL
+SELECT 'o_totalprice', count(*) FILTER (WHERE o_totalprice IS NOT NULL
+                                        AND TRY_CAST(o_totalprice AS DECIMAL(18,6)) IS NULL) FROM ord
+""", RELEASES)
+INGEST_SQL["year_range"] = with_releases(
+    "SELECT o_orderkey, file_year FROM conformed WHERE file_year BETWEEN 1996 AND 1999", CONFORMED)
+INGEST_SQL["replace_year"] = with_releases("""
+SELECT o_orderkey, file_year, CAST(o_totalprice AS DOUBLE) AS o_totalprice
+FROM conformed WHERE file_year <= 1997
+UNION ALL
+SELECT o_orderkey, file_year, CAST(o_totalprice * 2 AS DOUBLE) FROM conformed WHERE file_year >= 1998
+""", CONFORMED)
+
+_STD = ("regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace({x}, "
+        "'\\d+__|Y\\d+\\.xlsx', '', 'g'), '^(\\d+_\\d+_+|_+)', '')), '[[:punct:]]', '', 'g'), "
+        "'\\s+', '_', 'g')")
+_HEADER = "CAST(p_size AS VARCHAR) || '__' || p_type || ' ' || p_name || ' (' || p_brand || ')'"
+_FILE = ("'3_' || CAST(p_size % 9 AS VARCHAR) || '_' || p_type || '_Y' "
+         "|| CAST(1995 + p_partkey % 7 AS VARCHAR) || '.xlsx'")
+INGEST_SQL["name_standardize"] = f"""
+SELECT p_partkey,
+       {_STD.format(x=_HEADER)} AS header_name,
+       substr({_STD.format(x="concat_ws(' ', " + _HEADER + ", p_name, p_name, p_name, p_name, p_name)")}, 1, 63)
+         AS column_name,
+       {_STD.format(x=_FILE)} AS topic
+FROM part
+"""
+INGEST_SQL["lineage_columns"] = """
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS file_year,
+       true AS has_file_date, true AS has_upload_timestamp
+FROM orders
+"""
+INGEST_SQL["yes_no_boolean"] = """
+SELECT o_orderkey,
+       CASE o_orderstatus WHEN 'F' THEN 'Y' WHEN 'O' THEN 'N' ELSE o_orderstatus END AS raw_flag,
+       CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS is_fulfilled
+FROM orders
+"""
+INGEST_SQL["rename_columns"] = """
+SELECT o_orderkey AS order_key, o_custkey AS customer_id, o_totalprice AS total_price_,
+       o_orderstatus AS status
+FROM orders
+"""
+
+
 def all_sql() -> dict[str, str]:
     out = dict(VIEW_SQL)
     out.update(OP_SQL)
+    out.update(INGEST_SQL)
     return out

@@ -44,3 +44,16 @@ QUERIES: dict[str, Query] = {
 }
 
 QUERIES.update({name: _view(fn) for name, fn in OPERATOR_QUERIES.items()})
+
+from voltframe.plans.ingest_queries import INGEST_QUERIES  # noqa: E402
+
+
+def _direct(fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return measures_as_double(fn(spark, sf_dir))
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES.update({name: _direct(fn) for name, fn in INGEST_QUERIES.items()})

@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltframe.sources.ingest import conform
 
@@ -117,3 +118,70 @@ def survey_tables(rows: DataFrame) -> dict[str, DataFrame]:
 
 def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return survey_tables(generator_rows(read_driver(spark, sf_dir, "lineitem")))
+
+
+# ---------------------------------------------------------------------------
+# Raw release extracts for the ingest and profiling operators.
+#
+# Three "tables" released yearly as text extracts (what a delimited read with
+# an all-string schema yields), with deliberate drift between releases:
+#   sales.orders     orders by year(o_orderdate); o_totalprice written with a
+#                    '$' prefix up to 1996 (text that is not a number) and
+#                    o_orderpriority dropped from 2000 on (missing column);
+#                    releases up to 1999 also carry an extra o_comment column
+#   sales.lineitem   lineitem by year(l_shipdate); l_quantity written as an
+#                    integer from 1999 on, with two decimals before (Q17)
+#   sales.late_lines lineitem shipped from 2000 on only: a table with
+#                    releases in two years
+# ---------------------------------------------------------------------------
+RELEASE_YEARS = (1995, 2001)
+ORDERS_RELEASE_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType()),
+    T.StructField("o_custkey", T.LongType()),
+    T.StructField("o_orderstatus", T.StringType()),
+    T.StructField("o_totalprice", T.DecimalType(18, 6)),
+    T.StructField("o_orderpriority", T.StringType()),
+    T.StructField("o_clerk", T.StringType()),
+    T.StructField("file_year", T.IntegerType()),
+])
+
+
+def _money_text(c: Column) -> Column:
+    return c.cast("decimal(18,2)").cast("string")
+
+
+def order_release_groups(orders: DataFrame) -> list[tuple[str, DataFrame]]:
+    """The two scan groups of sales.orders (different headers), all columns text."""
+    year = F.year("o_orderdate").cast("int")
+    price = F.when(year <= 1996, F.concat(F.lit("$"), _money_text(F.col("o_totalprice")))) \
+             .otherwise(_money_text(F.col("o_totalprice")))
+    base = orders.select(
+        year.alias("file_year"),
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.col("o_custkey").cast("string").alias("o_custkey"),
+        "o_orderstatus", price.alias("o_totalprice"), "o_orderpriority")
+    early = base.where(F.col("file_year") <= 1999).withColumn(
+        "o_comment", F.concat(F.lit("order "), F.col("o_orderkey")))
+    late = base.where(F.col("file_year") >= 2000).drop("o_orderpriority")
+    return [("sales.orders", early), ("sales.orders", late)]
+
+
+def lineitem_release_groups(lineitem: DataFrame) -> list[tuple[str, DataFrame]]:
+    year = F.year("l_shipdate").cast("int")
+    qty = F.when(year >= 1999, F.col("l_quantity").cast("bigint").cast("string")) \
+           .otherwise(_money_text(F.col("l_quantity")))
+    lines = lineitem.select(
+        year.alias("file_year"),
+        F.col("l_orderkey").cast("string").alias("l_orderkey"),
+        F.col("l_linenumber").cast("string").alias("l_linenumber"),
+        qty.alias("l_quantity"), "l_returnflag", "l_linestatus")
+    late = lineitem.where(year >= 2000).select(
+        year.alias("file_year"),
+        F.col("l_orderkey").cast("string").alias("l_orderkey"),
+        F.to_date("l_shipdate").cast("string").alias("l_shipdate"))
+    return [("sales.lineitem", lines), ("sales.late_lines", late)]
+
+
+def release_groups(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
+    return (order_release_groups(read_driver(spark, sf_dir, "orders"))
+            + lineitem_release_groups(read_driver(spark, sf_dir, "lineitem")))

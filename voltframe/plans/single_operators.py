@@ -320,7 +320,7 @@ def order_nulls(t: Tables) -> DataFrame:
                  .groupBy("state", "county", "plant_code").agg(F.sum(MW).alias("capacity_mw")))
     w = Window.partitionBy("state", "county").orderBy(F.col("capacity_mw").desc_nulls_first(),
                                                       F.col("plant_code").asc_nulls_last())
-    return per_plant.withColumn("position", F.row_number().over(w))
+    return per_plant.withColumn("position", F.row_number().over(w).cast("bigint"))
 
 
 OPERATOR_QUERIES = {

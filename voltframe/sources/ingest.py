@@ -69,9 +69,9 @@ def conform(df: DataFrame, table: str, schema: T.StructType | None = None) -> Da
     return df.select(*cols)
 
 
-def reject_counts(df: DataFrame, table: str) -> DataFrame:
+def reject_counts(df: DataFrame, table: str, schema: T.StructType | None = None) -> DataFrame:
     """T7 report: per declared column, how many non-NULL raw values failed coercion."""
-    target = registry.schema(table)
+    target = schema or registry.schema(table)
     present = {f.name: f.dataType for f in df.schema.fields}
     aggs = []
     for f in target.fields:
@@ -82,5 +82,4 @@ def reject_counts(df: DataFrame, table: str) -> DataFrame:
     if not aggs:
         return df.sparkSession.createDataFrame([], "column string, rejected bigint")
     wide = df.agg(*aggs)
-    names = [a for a in wide.columns]
-    return wide.unpivot([], names, "column", "rejected")
+    return wide.unpivot([], wide.columns, "column", "rejected")
