@@ -116,8 +116,15 @@ def survey_tables(rows: DataFrame) -> dict[str, DataFrame]:
     return {t: conform(df.withColumns(lineage), t) for t, df in raw.items()}
 
 
-def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return survey_tables(generator_rows(read_driver(spark, sf_dir, "lineitem")))
+def fixture_tables(spark: SparkSession, sf_dir: str, stage_dir: str | None = None) -> dict[str, DataFrame]:
+    """The ten survey tables.  With ``stage_dir`` the shared generator rows are
+    written there once (a table in the shared checkpoint folder, which also cuts
+    the lineage) and the ten tables are derived from that copy."""
+    rows = generator_rows(read_driver(spark, sf_dir, "lineitem"))
+    if stage_dir is not None:
+        rows.write.mode("overwrite").parquet(stage_dir)
+        rows = spark.read.parquet(stage_dir)
+    return survey_tables(rows)
 
 
 # ---------------------------------------------------------------------------
