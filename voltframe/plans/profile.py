@@ -43,13 +43,15 @@ def union_long(parts: Iterable[DataFrame]) -> DataFrame:
     return out
 
 
-def profile_table(long: DataFrame) -> DataFrame:
+def profile_table(long: DataFrame, strict_yn: bool = False) -> DataFrame:
     """P9 (with P1-P4): one row per (table, year, column).
 
     distinct_count counts NULL as a value (P1); max_len is the longest text of a
     String column, NULL otherwise (P2); is_unique = distinct_count = rows (P3,
     the intended rule); col_type is Boolean for exactly two distinct values,
-    else Int64 / Float64 when every non-NULL value casts, else String (P4, Q8).
+    else Int64 / Float64 when every non-NULL value casts, else String (P4).
+    ``strict_yn`` (Q8) only calls a column Boolean when its values are Y, N or NULL,
+    so a ``{NULL, 'text'}`` column is not turned into an all-NULL boolean.
     """
     per_value = long.groupBy(*PROFILE_KEYS, "position", "value").agg(F.count(F.lit(1)).alias("n"))
     v = F.col("value")
@@ -60,8 +62,12 @@ def profile_table(long: DataFrame) -> DataFrame:
         F.max(F.length(v)).alias("text_len"),
         F.count_if(v.isNotNull() & v.try_cast("bigint").isNull()).alias("not_int"),
         F.count_if(v.isNotNull() & v.try_cast("double").isNull()).alias("not_num"),
+        F.count_if(v.isNotNull() & ~v.isin("Y", "N")).alias("not_yn"),
     )
-    col_type = (F.when(F.col("distinct_count") == 2, F.lit("Boolean"))
+    two_values = F.col("distinct_count") == 2
+    if strict_yn:
+        two_values = two_values & (F.col("not_yn") == 0)
+    col_type = (F.when(two_values, F.lit("Boolean"))
                 .when(F.col("not_int") == 0, F.lit("Int64"))
                 .when(F.col("not_num") == 0, F.lit("Float64"))
                 .otherwise(F.lit("String")))

@@ -52,21 +52,36 @@ def coerce(c: Column, source: T.DataType, target: T.DataType) -> Column:
     return c.try_cast(target)
 
 
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def coerce_sql(name: str, source: T.DataType, target: T.DataType) -> str:
+    """SQL text of :func:`coerce` (used to build a whole projection in one call)."""
+    q = _quote(name)
+    if source == target:
+        return q
+    if isinstance(target, T.BooleanType) and isinstance(source, T.StringType):
+        return f"CASE WHEN {q} = 'Y' THEN true WHEN {q} = 'N' THEN false END"
+    return f"try_cast({q} AS {target.simpleString()})"
+
+
 def conform(df: DataFrame, table: str, schema: T.StructType | None = None) -> DataFrame:
     """Project ``df`` onto the declared schema of ``table``.
 
     Missing columns become typed NULLs, unknown ones are dropped, the result has
-    exactly the registry's column order and types.
+    exactly the registry's column order and types.  Built as one ``selectExpr``
+    so a 76-column table costs one call, not one per column.
     """
     target = schema or registry.schema(table)
     present = {f.name: f.dataType for f in df.schema.fields}
-    cols = []
+    exprs = []
     for f in target.fields:
         if f.name in present:
-            cols.append(coerce(F.col(f.name), present[f.name], f.dataType).alias(f.name))
+            exprs.append(f"{coerce_sql(f.name, present[f.name], f.dataType)} AS {_quote(f.name)}")
         else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+            exprs.append(f"CAST(NULL AS {f.dataType.simpleString()}) AS {_quote(f.name)}")
+    return df.selectExpr(*exprs)
 
 
 def reject_counts(df: DataFrame, table: str, schema: T.StructType | None = None) -> DataFrame:

@@ -1,0 +1 @@
+"""Incremental landing of new releases with Structured Streaming."""
