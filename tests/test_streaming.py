@@ -1,0 +1,37 @@
+"""Incremental landing: new yearly extracts arriving in a folder replace their years."""
+
+from pyspark.sql import types as T
+
+from voltframe.streaming.landing import start_landing
+
+SCHEMA = T.StructType([
+    T.StructField("utility_id", T.LongType()),
+    T.StructField("nameplate_capacity_mw", T.DecimalType(18, 6)),
+    T.StructField("file_year", T.IntegerType()),
+    T.StructField("file_date", T.TimestampNTZType()),
+    T.StructField("upload_timestamp", T.TimestampNTZType()),
+])
+HEADER = ["Utility ID", "Nameplate Capacity (MW)"]
+
+
+def _drop(folder, year, name, body):
+    d = folder / str(year)
+    d.mkdir(parents=True, exist_ok=True)
+    (d / name).write_text("Title line\nUtility ID,Nameplate Capacity (MW)\n" + body)
+
+
+def test_landing_stream_replaces_years(spark, tmp_path):
+    landing, target, ckpt = tmp_path / "landing", str(tmp_path / "table"), str(tmp_path / "ckpt")
+    _drop(landing, 2022, "a.csv", "1,10\n2,20\nfootnote\n")
+    q = start_landing(spark, str(landing), HEADER, "t", target, ckpt, SCHEMA, trigger_once=True)
+    q.awaitTermination(120)
+    got = sorted((r.file_year, r.utility_id) for r in spark.read.parquet(target).collect())
+    assert got == [(2022, 1), (2022, 2)]
+    # A re-issued 2022 release and a new 2023 release arrive.
+    _drop(landing, 2022, "b.csv", "1,11\n")
+    _drop(landing, 2023, "c.csv", "3,30\n")
+    q = start_landing(spark, str(landing), HEADER, "t", target, ckpt, SCHEMA, trigger_once=True)
+    q.awaitTermination(120)
+    got = sorted((r.file_year, r.utility_id, float(r.nameplate_capacity_mw))
+                 for r in spark.read.parquet(target).collect())
+    assert got == [(2022, 1, 11.0), (2023, 3, 30.0)]
