@@ -117,6 +117,8 @@ def test_replace_years_semantics(spark):
     assert got == [(2021, "a"), (2022, "B"), (2023, "D")]
     twice = replace_years(replace_years(existing, incoming), incoming)
     assert sorted(tuple(r) for r in twice.collect()) == got
+    by_range = replace_years(existing, incoming, years=range(2022, 2024))
+    assert sorted(tuple(r) for r in by_range.collect()) == got
 
 
 def test_write_releases_replaces_only_given_years(spark, tmp_path):

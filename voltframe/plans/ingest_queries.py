@@ -100,7 +100,8 @@ def replace_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     existing = table.where(F.col("file_year") <= 1999)
     reissued = (table.where(F.col("file_year") >= 1998)
                 .withColumn("o_totalprice", F.col("o_totalprice") * 2))
-    return replace_years(existing, reissued).select("o_orderkey", "file_year", "o_totalprice")
+    return replace_years(existing, reissued, years=range(1998, 2002)).select(
+        "o_orderkey", "file_year", "o_totalprice")
 
 
 def profile_table_q(spark, sf_dir):
