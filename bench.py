@@ -30,7 +30,7 @@ from voltframe.plans import profile as P  # noqa: E402
 from voltframe.plans import views as V  # noqa: E402
 from voltframe.session import build_session  # noqa: E402
 from voltframe.sources.catalog import read_tables  # noqa: E402
-from voltframe.sources.sinks import write_releases  # noqa: E402
+from voltframe.sources.sinks import write_tables  # noqa: E402
 
 VIEWS = {
     "view_a": V.biomass_generators_count,
@@ -67,15 +67,15 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="voltframe-bench")
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="voltframe-bench",
+                          driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "4g"))
     base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/voltframe-bench"
     warehouse = f"{base.rstrip('/')}/bench-{uuid.uuid4().hex[:8]}"
     times: dict[str, float] = {}
 
     def load() -> None:
         staged = fixture_tables(spark, sf_dir, stage_dir=f"{warehouse}/_generator_rows")
-        for name, df in staged.items():
-            write_releases(df, f"{warehouse}/{name}")
+        write_tables(staged, warehouse)
 
     times["load_tables"] = timed(load, runs)  # reloading the same releases is idempotent (S7)
     tables = read_tables(spark, warehouse, SURVEY_TABLES_USED)

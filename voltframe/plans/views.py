@@ -85,8 +85,11 @@ def facility_type_count_by_state(t: Tables, ordered: bool = True) -> DataFrame:
     g = t["generator.operable"].select("plant_code", "generator_id", "file_year", "file_date",
                                        "state", "technology")
     per_plant = latest(g, ["plant_code"], tiebreak=[F.col("generator_id").asc()])
+    # One row per plant_code after latest(), so COUNT(plant_code) equals the
+    # reference's COUNT(DISTINCT plant_code) (NULL not counted, Q4) without the
+    # extra distinct-aggregation stage.
     out = (per_plant.groupBy("state", "technology")
-           .agg(F.count_distinct("plant_code").alias("facilities")))
+           .agg(F.count("plant_code").alias("facilities")))
     return _maybe_order(out, ordered, "state", "-facilities")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "voltframe") -> SparkSession:
+                  app_name: str = "voltframe", driver_memory: str | None = None) -> SparkSession:
     """Session with AQE on, UI off and UTC session time.
 
     ``shuffle_partitions`` should be sized to the data: at cluster scale aim for
@@ -26,6 +26,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     )
     if master:
         builder = builder.master(master)
+    if driver_memory:  # only effective when this call starts the JVM (local mode)
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()

@@ -48,6 +48,22 @@ def write_releases(df: DataFrame, path: str, fmt: str = "parquet") -> None:
      .save(path))
 
 
+def write_tables(tables: Mapping[str, DataFrame], root: str, max_parallel: int = 4) -> None:
+    """Write several raw tables (``root/<schema.table>``) as concurrent Spark jobs.
+
+    The tables are independent, so their jobs are submitted from a few driver
+    threads and share the executors; small tables then no longer wait for each
+    other.  Each write is still a separate, atomically committed job.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max_parallel) as pool:
+        futures = [pool.submit(write_releases, df, f"{root.rstrip('/')}/{name}")
+                   for name, df in tables.items()]
+        for f in futures:
+            f.result()
+
+
 def jdbc_append(df: DataFrame, url: str, table: str, properties: Mapping[str, str],
                 batch_size: int = 10000) -> None:
     """Append rows to a JDBC table (one connection per task, batched inserts)."""
