@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 
 from voltframe.functions.names import check_unique_names
 
-YEAR_IN_PATH = r"/(\d{4})/[^/]+$"
+# Release year: the folder holding the extract, or the one above a workbook folder.
+YEAR_IN_PATH = r"/(\d{4})/(?:[^/]+/)?[^/]+$"
 
 
 def read_header(spark: SparkSession, path: str, header_line: int = 1) -> list[str]:
@@ -46,7 +47,7 @@ def read_group(spark: SparkSession, header: tuple[str, ...], paths: list[str],
           .withColumn("_path", F.col("_metadata.file_path"))
           .withColumn("_mtime", F.col("_metadata.file_modification_time")))
     data = df.where(F.col(key_column).try_cast("bigint").isNotNull())
-    year = F.regexp_extract("_path", YEAR_IN_PATH, 1).cast("int")
+    year = F.regexp_extract("_path", YEAR_IN_PATH, 1).try_cast("int")
     return (data.withColumn("file_year", year)
             .withColumn("file_date", F.col("_mtime").cast("timestamp_ntz"))
             .drop("_path", "_mtime"))

@@ -34,7 +34,7 @@ def release_stream(spark: SparkSession, landing_dir: str, raw_header: Sequence[s
            .select("*", F.col("_metadata.file_path").alias("_path"),
                    F.col("_metadata.file_modification_time").alias("_mtime")))
     return (raw.where(F.col(key_column).try_cast("bigint").isNotNull())
-            .withColumn("file_year", F.regexp_extract("_path", YEAR_IN_PATH, 1).cast("int"))
+            .withColumn("file_year", F.regexp_extract("_path", YEAR_IN_PATH, 1).try_cast("int"))
             .withColumn("file_date", F.col("_mtime").cast("timestamp_ntz"))
             .drop("_path", "_mtime"))
 
