@@ -45,6 +45,7 @@ def make_table(spark, name, rows):
     from voltframe import registry
     target = {f.name: f.dataType for f in registry.schema(name).fields}
     from pyspark.sql import types as T
+    cols = [c for c in cols if c in target]  # columns a table does not declare are dropped (T6)
     schema = T.StructType([T.StructField(c, target[c]) for c in cols])
     df = spark.createDataFrame([tuple(r.get(c) for c in cols) for r in filled], schema)
     return conform(df, name)
