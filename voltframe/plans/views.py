@@ -22,7 +22,7 @@ from voltframe.operators.joins import full_outer_coalesced, left_join_chain, sca
 from voltframe.operators.latest import latest
 from voltframe.operators.ordering import pg_order
 from voltframe.operators.share import share_of_group
-from voltframe.operators.unions import union_all, zero_padded_union
+from voltframe.operators.unions import union_all
 from voltframe.registry import BIOMASS_CODES, FOSSIL_CODES, RENEWABLE_CODES
 
 Tables = Mapping[str, DataFrame]
@@ -65,7 +65,12 @@ def utilities_with_existing_renewable_offset(t: Tables, ordered: bool = True) ->
     """Kb: biomass filter before "latest"; renewables joined on utility_id only (Q5)."""
     biomass = (_latest_mw(t["generator.operable"], any_of(ENERGY_SOURCES, BIOMASS_CODES))
                .groupBy("utility_id", "utility_name").agg(F.sum(MW).alias("biomass_mw")))
-    renew = (union_all(*[_latest_mw(t[f"{x}.operable"]) for x in ("solar", "wind", "energystorage")])
+    # One window over the tagged union of the three tables (partitioned by
+    # table, plant, generator) = three separate "latest" CTEs, one exchange.
+    cols = ["utility_id", "utility_name", *GENERATOR_KEY, "file_year", "file_date", MW]
+    tagged = union_all(*[t[f"{x}.operable"].select(F.lit(x).alias("_source"), *cols)
+                         for x in ("solar", "wind", "energystorage")])
+    renew = (latest(tagged, ["_source", *GENERATOR_KEY])
              .groupBy("utility_id", "utility_name").agg(F.sum(MW).alias("renew_mw")))
     b, r = biomass.alias("b"), renew.alias("r")
     renew_mw = zero_if_null(F.col("r.renew_mw"))
@@ -249,6 +254,48 @@ def _recent_retirements(df: DataFrame, max_year: Column, aggs: list[Column]) ->
     return recent.groupBy("state", "county", year.alias("year")).agg(*aggs)
 
 
+RETIREMENT_SOURCES = (("gen", "generator.retired_and_canceled"),
+                      ("solar", "solar.retired_and_canceled"),
+                      ("wind", "wind.retired_and_canceled"),
+                      ("storage", "energystorage.retired_and_canceled"))
+
+
+def _recent_retirements_all(t: Tables, max_year: Column) -> DataFrame:
+    """ret_all of the reference in one aggregation over a tagged union.
+
+    The reference aggregates each table per (state, county, year), zero-fills
+    (A12) and pads the other measures with 0 (U3).  Summing per source inside
+    one aggregation and zero-filling afterwards gives the same rows: a key
+    with no rows of a source gets 0 for that source's measures, exactly like
+    the padded branches.  One exchange instead of four.
+    """
+    def branch(src: str, name: str) -> DataFrame:
+        df = t[name]
+        fuel = (F.col("energy_source_1") if "energy_source_1" in df.columns
+                else F.lit(None).cast("string"))
+        return df.select(F.lit(src).alias("_source"), "state", "county", "retirement_year",
+                         fuel.alias("energy_source_1"), MW)
+
+    tagged = union_all(*[branch(src, name) for src, name in RETIREMENT_SOURCES])
+    src = F.col("_source")
+
+    def from_source(tag: str, extra: Column | None = None) -> Column:
+        cond = src == tag
+        if extra is None:
+            return F.sum(F.when(cond, F.col(MW)))
+        return F.sum(F.when(cond & extra, F.col(MW)).when(cond, F.lit(0)))
+
+    fuel = F.upper(F.coalesce(F.col("energy_source_1"), F.lit("")))
+    per_year = _recent_retirements(tagged, max_year, [
+        from_source("gen").alias("retired_gen_mw"),
+        from_source("gen", in_list(fuel, RENEWABLE_CODES)).alias("retired_renew_mw"),
+        from_source("gen", in_list(fuel, FOSSIL_CODES)).alias("retired_fossil_mw"),
+        from_source("solar").alias("retired_solar_mw"),
+        from_source("wind").alias("retired_wind_mw"),
+        from_source("storage").alias("retired_storage_mw")])
+    return per_year.select("state", "county", "year", *[zero_if_null(m).alias(m) for m in RET_MEASURES])
+
+
 def _recent_proposals(df: DataFrame, max_year: Column, name: str) -> DataFrame:
     cy = F.col("current_year")
     recent = df.where(cy.isNotNull() & within_recent(cy, max_year, RECENT_YEARS))
@@ -269,23 +316,7 @@ def additions_vs_retirements_geo(t: Tables) -> DataFrame:
     Net change subtracts generator retirements only, as the reference does.
     """
     max_year = _max_year(t)
-    ret_gen = _recent_retirements(t["generator.retired_and_canceled"], max_year, [
-        F.sum(MW).alias("retired_gen_mw"),
-        _mw_if(RENEWABLE_CODES).alias("retired_renew_mw"),
-        _mw_if(FOSSIL_CODES).alias("retired_fossil_mw")])
-    per_tech = {
-        name: _recent_retirements(t[table], max_year, [F.sum(MW).alias(name)])
-        for name, table in (("retired_solar_mw", "solar.retired_and_canceled"),
-                            ("retired_wind_mw", "wind.retired_and_canceled"),
-                            ("retired_storage_mw", "energystorage.retired_and_canceled"))
-    }
-    keys = ["state", "county", "year"]
-    branches = [(ret_gen, {m: m for m in RET_MEASURES[:3]})]
-    branches += [(df, {name: name}) for name, df in per_tech.items()]
-    # Each branch is already one row per (state, county, year); zero-fill its sums.
-    branches = [(df.select(*keys, *[zero_if_null(c).alias(c) for c in filled]), filled)
-                for df, filled in branches]
-    ret_all = zero_padded_union(branches, keys, RET_MEASURES)
+    ret_all = _recent_retirements_all(t, max_year)
     ret_rollup = ret_all.groupBy("state", "county").agg(
         *[F.sum(m).alias(f"{m}_recent") for m in RET_MEASURES])
 
