@@ -15,6 +15,7 @@ from voltframe.functions.predicates import any_of, four_digit_year, in_list, wit
 from voltframe.operators.change import change_from_previous
 from voltframe.operators.joins import full_outer_coalesced, left_join_chain, scalar, with_scalar
 from voltframe.operators.latest import latest
+from voltframe.operators.percentile import exact_percentile
 from voltframe.operators.share import share_of_group
 from voltframe.operators.unions import union_all, zero_padded_union
 from voltframe.plans.views import (ENERGY_SOURCES, GENERATOR_KEY, MW, Tables, _max_year,
@@ -181,8 +182,7 @@ def global_max(t: Tables) -> DataFrame:
 
 def median_by_year(t: Tables) -> DataFrame:
     """Exact interpolated median of solar capacity per release year."""
-    return (t["solar.operable"].groupBy("file_year")
-            .agg(F.percentile(F.col(MW).cast("double"), 0.5).alias("median_mw")))
+    return exact_percentile(t["solar.operable"], ["file_year"], MW, 0.5, "median_mw")
 
 
 def group_by_expression(t: Tables) -> DataFrame:

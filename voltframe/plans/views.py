@@ -21,6 +21,7 @@ from voltframe.operators.change import change_from_previous
 from voltframe.operators.joins import full_outer_coalesced, left_join_chain, scalar
 from voltframe.operators.latest import latest
 from voltframe.operators.ordering import pg_order
+from voltframe.operators.percentile import exact_percentile
 from voltframe.operators.share import share_of_group
 from voltframe.operators.unions import union_all
 from voltframe.registry import BIOMASS_CODES, FOSSIL_CODES, RENEWABLE_CODES
@@ -116,15 +117,19 @@ def median_battery_capacity_by_year(t: Tables, approx: bool = False,
                                     ordered: bool = True) -> DataFrame:
     """Ke: exact interpolated median per release year.
 
-    ``percentile`` keeps a value -> count map per group, so its memory grows with
-    the distinct capacities of one year, not with rows; ``approx=True`` switches
-    to ``percentile_approx`` for very large groups.
+    A release year is a group that may hold a large share of all rows, so the
+    median is computed by :func:`exact_percentile` (distinct values, histogram
+    narrowing, bounded final ranking) rather than one task per year.
+    ``approx=True`` uses ``percentile_approx`` instead.
     """
     e = _mw_not_null(t["energystorage.operable"]).select(*GENERATOR_KEY, "file_year", "file_date", MW)
     newest = latest(e, [*GENERATOR_KEY, "file_year"], order=[F.col("file_date").desc()])
     value = F.col(MW).cast("double")
-    med = F.percentile_approx(value, 0.5, 100000) if approx else F.percentile(value, 0.5)
-    out = newest.groupBy("file_year").agg(med.alias("median_battery_mw"))
+    if approx:
+        out = newest.groupBy("file_year").agg(
+            F.percentile_approx(value, 0.5, 100000).alias("median_battery_mw"))
+    else:
+        out = exact_percentile(newest, ["file_year"], value, 0.5, "median_battery_mw")
     return _maybe_order(out, ordered, "file_year")
 
 
