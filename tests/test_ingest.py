@@ -143,3 +143,15 @@ def test_metadata_sink(spark, tmp_path):
     df = spark.createDataFrame([("t", [2023, 2024])], "table_name string, years array<int>")
     write_metadata(df, str(tmp_path / "table_years"))
     assert spark.read.json(str(tmp_path / "table_years")).first().years == [2023, 2024]
+
+
+def test_arrow_hand_over(spark):
+    import pyarrow as pa
+    from voltframe.sources.arrow import from_arrow
+    from voltframe.sources.ingest import rename_columns
+    table = pa.table({"Utility ID": [1, 2], "Nameplate Capacity (MW)": [1.5, None]})
+    df = rename_columns(from_arrow(spark, table))
+    assert df.columns == ["utility_id", "nameplate_capacity_mw"]
+    out = conform(df.withColumn("file_year", F.lit(2024)), "t", SCHEMA)
+    got = sorted((r.utility_id, r.nameplate_capacity_mw) for r in out.collect())
+    assert got == [(1, Decimal("1.500000")), (2, None)]
