@@ -5,7 +5,8 @@ group (one release year holding a third of the rows) lands whole on one
 executor.  Here the work is split:
 
 1. distinct values with their multiplicity per group (map-side combine, so a
-   hot *value* collapses to one row);
+   hot *value* collapses to one row), checkpointed once to the shared folder so
+   every later pass reads the same copy;
 2. per group: row count, target ranks ``floor/ceil((n - 1) * p)``, the value
    range [lo, hi] that must contain them, and the distinct values inside it;
 3. while some group still has more than ``max_values_per_task`` distinct
@@ -47,6 +48,9 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: Column | str, p:
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     distinct_values = (df.select(*keys, v.alias("_v"))
                        .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_m")))
+    # Materialise the (value, count) pairs once: the pass decisions and the final
+    # ranking then read one consistent copy instead of recomputing the input.
+    distinct_values = _checkpointed(distinct_values)
     present = F.col("_v").isNotNull()
     stats = distinct_values.groupBy(*keys).agg(
         F.sum(F.when(present, F.col("_m"))).alias("_n"),
