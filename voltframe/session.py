@@ -7,12 +7,27 @@ import os
 from pyspark.sql import SparkSession
 
 
+# Defaults for a large cluster (hundreds of executors, tens of TB per job):
+# start shuffles wide and let AQE coalesce to ~256 MB partitions, split skewed
+# partitions, and read Parquet in 256 MB splits.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "voltframe", driver_memory: str | None = None) -> SparkSession:
+                  app_name: str = "voltframe", driver_memory: str | None = None,
+                  cluster: bool = False) -> SparkSession:
     """Session with AQE on, UI off and UTC session time.
 
-    ``shuffle_partitions`` should be sized to the data: at cluster scale aim for
-    ~128-256 MB per shuffle partition and let AQE coalesce small ones.
+    ``cluster=True`` applies :data:`CLUSTER_CONF`; ``shuffle_partitions`` (local
+    runs) overrides the shuffle width.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -24,6 +39,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
+    if cluster:
+        for k, v in CLUSTER_CONF.items():
+            builder = builder.config(k, v)
     if master:
         builder = builder.master(master)
     if driver_memory:  # only effective when this call starts the JVM (local mode)
