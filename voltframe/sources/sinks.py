@@ -38,10 +38,13 @@ def write_releases(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """S7 physical form: dynamic partition overwrite by ``file_year``.
 
     Only the years present in ``df`` are replaced; other partitions stay.  The
-    write is a job of independent tasks with an atomic commit per partition, so
-    a lost executor only re-runs its tasks.
+    write is a job of independent tasks committed atomically, so a lost
+    executor only re-runs its tasks.
     """
-    (df.write.mode("overwrite")
+    # REBALANCE on the partition column: AQE sizes the write tasks to the
+    # advisory partition size (few, large files per year) and splits a hot
+    # year over several tasks instead of funnelling it into one.
+    (df.hint("rebalance", "file_year").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("file_year")
      .format(fmt)
