@@ -81,7 +81,7 @@ def main() -> None:
     tables = read_tables(spark, warehouse, SURVEY_TABLES_USED)
 
     def profile() -> None:
-        long = P.union_long(P.to_long(t, df) for t, df in release_groups(spark, sf_dir))
+        long = P.long_cells(release_groups(spark, sf_dir))
         run(P.render_schema(P.consolidate_types(P.profile_table(long))))
 
     times["profile"] = timed(profile, runs)

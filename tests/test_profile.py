@@ -3,9 +3,12 @@
 from voltframe.plans import profile as P
 
 
+def group_of(spark, table, rows, cols):
+    return table, spark.createDataFrame(rows, "file_year int, " + ", ".join(f"{c} string" for c in cols))
+
+
 def long_of(spark, table, rows, cols):
-    df = spark.createDataFrame(rows, "file_year int, " + ", ".join(f"{c} string" for c in cols))
-    return P.to_long(table, df)
+    return P.long_cells([group_of(spark, table, rows, cols)])
 
 
 def test_profile_counts_null_as_value_and_unique_by_rows(spark):
@@ -29,10 +32,10 @@ def test_strict_yn_keeps_text_columns(spark):
 
 
 def test_consolidation_rules(spark):
-    long = P.union_long([
-        long_of(spark, "t.a", [(2020, "1", "1.5", "a")], ["n", "m", "s"]),
-        long_of(spark, "t.a", [(2021, "2.5", "2.5", "b"), (2021, "3", "3.5", "c"), (2021, "4", "4.5", "d")],
-                ["n", "m", "s"]),
+    long = P.long_cells([
+        group_of(spark, "t.a", [(2020, "1", "1.5", "a")], ["n", "m", "s"]),
+        group_of(spark, "t.a", [(2021, "2.5", "2.5", "b"), (2021, "3", "3.5", "c"), (2021, "4", "4.5", "d")],
+                 ["n", "m", "s"]),
     ])
     prof = P.profile_table(long)
     types = {r.column_name: r.col_type for r in P.consolidate_types(prof).collect()}
@@ -42,16 +45,27 @@ def test_consolidation_rules(spark):
 
 
 def test_years_missing_and_render(spark):
-    long = P.union_long([
-        long_of(spark, "t.a", [(2020, "1")], ["id"]),
-        long_of(spark, "t.a", [(2022, "1", "x")], ["id", "extra"]),
-        long_of(spark, "t.b", [(2021, "1")], ["id"]),
+    long = P.long_cells([
+        group_of(spark, "t.a", [(2020, "1")], ["id"]),
+        group_of(spark, "t.a", [(2022, "1", "x")], ["id", "extra"]),
+        group_of(spark, "t.b", [(2021, "1")], ["id"]),
     ])
-    present = {r.table_name: r.years for r in P.years_present(long).collect()}
+    prof = P.profile_table(long)
+    present = {r.table_name: r.years for r in P.years_present(prof).collect()}
     assert present == {"t.a": [2020, 2022], "t.b": [2021]}
     missing = {r.table_name: r.missing_years
-               for r in P.missing_years(P.years_present(long), 2020, 2022).collect()}
+               for r in P.missing_years(P.years_present(prof), 2020, 2022).collect()}
     assert missing == {"t.a": [2021], "t.b": [2020, 2022]}
     ddl = {r.table_name: r.ddl for r in P.render_schema(P.consolidate_types(P.profile_table(long))).collect()}
     assert ddl["t.a"].startswith("CREATE TABLE t.a(\n\tid BIGINT,\n\textra VARCHAR,\n\tfile_year INT NOT NULL")
     assert ddl["t.a"].endswith("upload_timestamp TIMESTAMP DEFAULT CURRENT_TIMESTAMP NOT NULL\n);")
+
+
+def test_one_table_year_over_two_header_groups_counts_values_once(spark):
+    long = P.long_cells([
+        group_of(spark, "t.a", [(2020, "1", "x"), (2020, "2", "y")], ["id", "note"]),
+        group_of(spark, "t.a", [(2020, "y", "2"), (2020, "z", "3")], ["note", "id"]),
+    ])
+    prof = {r.column_name: r for r in P.profile_table(long).collect()}
+    assert (prof["id"].n_rows, prof["id"].distinct_count) == (4, 3)
+    assert (prof["note"].n_rows, prof["note"].distinct_count, prof["note"].position) == (4, 3, 0)

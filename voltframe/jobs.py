@@ -63,15 +63,14 @@ def derive_schemas(spark: SparkSession, landing: str, out: str, start_year: int,
                    widen_numeric: bool = False, strict_yn: bool = False) -> dict[str, DataFrame]:
     """Profile all releases (P1-P9), consolidate (P5), report years (P6/P7), render DDL."""
     listing = sheet_listing(spark, landing, start_year, end_year)
-    parts = []
+    groups = []
     for table, paths in _files_by_table(listing).items():
         for group in read_extracts(spark, paths):
             cols = [c for c in group.columns if c not in ("file_year", "file_date")]
-            parts.append(P.to_long(table, group.select("file_year", *cols)))
-    long = P.union_long(parts)
-    profile = P.profile_table(long, strict_yn=strict_yn)
+            groups.append((table, group.select("file_year", *cols)))
+    profile = P.profile_table(P.long_cells(groups), strict_yn=strict_yn)
     consolidated = P.consolidate_types(profile, widen_numeric=widen_numeric)
-    present = P.years_present(long)
+    present = P.years_present(profile)
     artefacts = {
         "year_schemas": profile,
         "table_schemas": P.declared_schema(consolidated),

@@ -14,8 +14,8 @@ from voltframe.sources.releases import select_years
 from voltframe.sources.sinks import replace_years
 
 
-def _long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.union_long(P.to_long(t, df) for t, df in FX.release_groups(spark, sf_dir))
+def _long(spark: SparkSession, sf_dir: str) -> P.LongCells:
+    return P.long_cells(FX.release_groups(spark, sf_dir))
 
 
 def _orders_conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,13 +136,13 @@ def consolidate_types_q(spark, sf_dir):
 
 def years_present_q(spark, sf_dir):
     """P6 (years as a comma list so the value compares as text)."""
-    yp = P.years_present(_long(spark, sf_dir))
+    yp = P.years_present(P.profile_table(_long(spark, sf_dir)))
     return yp.select("table_name", F.array_join("years", ",").alias("years"))
 
 
 def missing_years_q(spark, sf_dir):
     """P7 over the requested range 1995-2001."""
-    mis = P.missing_years(P.years_present(_long(spark, sf_dir)), *FX.RELEASE_YEARS)
+    mis = P.missing_years(P.years_present(P.profile_table(_long(spark, sf_dir))), *FX.RELEASE_YEARS)
     return mis.select("table_name", F.array_join("missing_years", ",").alias("missing_years"))
 
 

@@ -1,19 +1,18 @@
 """Profile every column of every release and derive one schema per table.
 
-Input is the *long* form of the raw extracts: one row per (table, file_year,
-position, column, value) with ``value`` as text, built by :func:`to_long` from
-each scan group (files that share a header).  A column that a release does not
-have simply has no rows for that year.
-
-The whole profile is two aggregations: (table, year, column, value) with
-partial aggregation (a hot value collapses map-side), then (table, year,
-column).  Strings are only grouping values; no per-column distinct aggregate
-is expanded N times.
+Input is the *long* form of the raw extracts: one row per cell (file_year,
+column id, position, value as text), built by :func:`long_cells` from each
+scan group (files that share a header).  A column that a release does not
+have simply has no cells for that year.
+
+The whole profile is two aggregations: (year, column, value) with partial
+aggregation (a hot value collapses map-side), then (year, column).  Values
+are only grouping keys; no per-column distinct aggregate is expanded N times.
 """
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence
+from typing import Iterable, NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,13 +25,37 @@ LINEAGE_DDL = ("file_year INT NOT NULL", "file_date TIMESTAMP NOT NULL",
 PROFILE_KEYS = ("table_name", "file_year", "column_name")
 
 
-def to_long(table: str, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One scan group (``file_year`` + text columns) -> long rows (NULL values kept)."""
-    cols = list(columns or [c for c in df.columns if c != "file_year"])
-    cells = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"),
-                               F.col(c).cast("string").alias("value"))
-                      for i, c in enumerate(cols)])
-    return df.select(F.lit(table).alias("table_name"), "file_year", F.inline(cells))
+class LongCells(NamedTuple):
+    """Long form of raw extracts: ``cells`` (file_year, cid, position, value) plus
+    ``columns`` (cid, table_name, column_name), one row per extract column."""
+
+    cells: DataFrame
+    columns: DataFrame
+
+
+def long_cells(groups: Iterable[tuple[str, DataFrame]]) -> LongCells:
+    """Scan groups ``(table, DataFrame of file_year + text columns)`` -> long cells.
+
+    Each (table, column) gets one integer id across all groups, so the shuffle
+    keys are (year, id, value) instead of two repeated strings per cell; the
+    names come back through a join with the column list, which is schema
+    metadata (one row per column) and therefore safe to broadcast.
+    """
+    groups = list(groups)
+    ids: dict[tuple[str, str], int] = {}
+    parts = []
+    for table, df in groups:
+        cols = [c for c in df.columns if c != "file_year"]
+        cells = [F.struct(F.lit(ids.setdefault((table, c), len(ids))).alias("cid"),
+                          F.lit(pos).alias("position"),
+                          F.col(c).cast("string").alias("value"))
+                 for pos, c in enumerate(cols)]
+        parts.append(df.select(F.col("file_year").cast("int").alias("file_year"),
+                               F.inline(F.array(*cells))))
+    spark = groups[0][1].sparkSession
+    columns = spark.createDataFrame([(cid, t, c) for (t, c), cid in ids.items()],
+                                    "cid int, table_name string, column_name string")
+    return LongCells(union_long(parts), columns)
 
 
 def union_long(parts: Iterable[DataFrame]) -> DataFrame:
@@ -43,7 +66,7 @@ def union_long(parts: Iterable[DataFrame]) -> DataFrame:
     return out
 
 
-def profile_table(long: DataFrame, strict_yn: bool = False) -> DataFrame:
+def profile_table(long: LongCells, strict_yn: bool = False) -> DataFrame:
     """P9 (with P1-P4): one row per (table, year, column).
 
     distinct_count counts NULL as a value (P1); max_len is the longest text of a
@@ -53,9 +76,10 @@ def profile_table(long: DataFrame, strict_yn: bool = False) -> DataFrame:
     ``strict_yn`` (Q8) only calls a column Boolean when its values are Y, N or NULL,
     so a ``{NULL, 'text'}`` column is not turned into an all-NULL boolean.
     """
-    per_value = long.groupBy(*PROFILE_KEYS, "position", "value").agg(F.count(F.lit(1)).alias("n"))
+    per_value = long.cells.groupBy("file_year", "cid", "value").agg(
+        F.count(F.lit(1)).alias("n"), F.min("position").alias("position"))
     v = F.col("value")
-    stats = per_value.groupBy(*PROFILE_KEYS).agg(
+    stats = per_value.groupBy("file_year", "cid").agg(
         F.min("position").alias("position"),
         F.sum("n").alias("n_rows"),
         F.count(F.lit(1)).alias("distinct_count"),
@@ -63,7 +87,7 @@ def profile_table(long: DataFrame, strict_yn: bool = False) -> DataFrame:
         F.count_if(v.isNotNull() & v.try_cast("bigint").isNull()).alias("not_int"),
         F.count_if(v.isNotNull() & v.try_cast("double").isNull()).alias("not_num"),
         F.count_if(v.isNotNull() & ~v.isin("Y", "N")).alias("not_yn"),
-    )
+    ).join(F.broadcast(long.columns), "cid")
     two_values = F.col("distinct_count") == 2
     if strict_yn:
         two_values = two_values & (F.col("not_yn") == 0)
@@ -121,9 +145,11 @@ def consolidate_types(profile: DataFrame, widen_numeric: bool = False) -> DataFr
         F.col("first_seen.position").alias("first_position"), "is_unique")
 
 
-def years_present(long: DataFrame) -> DataFrame:
-    """Sorted release years per table."""
-    return long.groupBy("table_name").agg(F.array_sort(F.collect_set("file_year")).alias("years"))
+def years_present(profile: DataFrame) -> DataFrame:
+    """Sorted release years per table (from the profile: a table-year is
+    present exactly when some column of it has cells)."""
+    return (profile.select("table_name", "file_year").distinct()
+            .groupBy("table_name").agg(F.array_sort(F.collect_set("file_year")).alias("years")))
 
 
 def missing_years(present: DataFrame, start_year: int, end_year: int) -> DataFrame:
