@@ -49,6 +49,14 @@ VIEWS = {
 }
 
 
+def _sf_value(sf_dir: str):
+    label = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(label)
+    except ValueError:
+        return label
+
+
 def run(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -89,7 +97,7 @@ def main() -> None:
         times[key] = timed(lambda fn=fn: run(fn(tables)), runs)
     total = round(sum(v for k, v in times.items()), 3)
     print(json.dumps({"metric": "total_seconds_all_steps", "value": total, "unit": "sec",
-                      "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
+                      "queries": times, "sf": _sf_value(sf_dir),
                       "cpus": cpus, "shuffle_partitions": 2 * cpus, "runs": runs}))
     spark.stop()
 

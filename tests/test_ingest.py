@@ -155,3 +155,10 @@ def test_arrow_hand_over(spark):
     out = conform(df.withColumn("file_year", F.lit(2024)), "t", SCHEMA)
     got = sorted((r.utility_id, r.nameplate_capacity_mw) for r in out.collect())
     assert got == [(1, Decimal("1.500000")), (2, None)]
+
+
+def test_dropped_rows_report(spark, landing):
+    from voltframe.sources.delimited import dropped_rows
+    paths = sorted(str(p) for p in (landing / "landing").rglob("3_1_*.csv"))
+    # release 1: title, header, footnote; release 2: title, header
+    assert dropped_rows(spark, paths) == 5
