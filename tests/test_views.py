@@ -175,3 +175,12 @@ def test_register_views(spark):
     assert len(names) == 10
     assert spark.sql("SELECT * FROM analysis_biomass_generators_count").first()[0] == 1
     assert spark.sql("SELECT count(*) FROM generator_operable").first()[0] == 1
+
+
+def test_q14_dedupe_counts_a_unit_once(spark):
+    g = [gen(1, "A", 2024, state="TX", county="X", mw=1)]
+    ret = [gen(1, "A", 2023, state="TX", county="X", retirement_year="2022", mw=10, energy_source_1="NG"),
+           gen(1, "A", 2024, state="TX", county="X", retirement_year="2022", mw=12, energy_source_1="NG")]
+    t = tables(spark, generator__operable=g, generator__retired_and_canceled=ret)
+    assert rows(V.additions_vs_retirements_geo(t))[0][2] == 22.0  # both releases (reference)
+    assert rows(V.additions_vs_retirements_geo(t, dedupe=True))[0][2] == 12.0  # newest release only

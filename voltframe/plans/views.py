@@ -313,14 +313,19 @@ def _mw_if(codes) -> Column:
     return F.sum(F.when(in_list(fuel, codes), F.col(MW)).otherwise(F.lit(0)))
 
 
-def additions_vs_retirements_geo(t: Tables) -> DataFrame:
+def additions_vs_retirements_geo(t: Tables, dedupe: bool = False) -> DataFrame:
     """Kj: retirements of the last releases' band vs proposals, per (state, county).
 
     Band = [max_year - 3, max_year] of generator.operable.  Sums run over all
-    releases, so a unit listed in several releases counts several times (Q14).
-    Net change subtracts generator retirements only, as the reference does.
+    releases, so a unit listed in several releases counts several times (Q14);
+    ``dedupe=True`` keeps only the newest release row of each generator of each
+    retirement / proposal table instead.  Net change subtracts generator
+    retirements only, as the reference does.
     """
     max_year = _max_year(t)
+    if dedupe:
+        t = {name: (latest(df, GENERATOR_KEY) if name.endswith(("retired_and_canceled", "proposed"))
+                    else df) for name, df in t.items()}
     ret_all = _recent_retirements_all(t, max_year)
     ret_rollup = ret_all.groupBy("state", "county").agg(
         *[F.sum(m).alias(f"{m}_recent") for m in RET_MEASURES])
