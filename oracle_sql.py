@@ -297,13 +297,21 @@ def _prop(table: str, name: str) -> str:
 
 
 _UP = "upper(coalesce(energy_source_1, ''))"
-VIEW_SQL["view_j"] = with_fixture(f"""
-rg AS ({_ret('generator_retired', f'''sum(nameplate_capacity_mw) AS g,
+def _view_j(dedupe: bool) -> str:
+    src = {t: (f"{t}_d" if dedupe else t) for t in ("generator_retired", "solar_retired", "wind_retired",
+                                                   "energystorage_retired", "generator_proposed",
+                                                   "energystorage_proposed")}
+    newest = "".join(
+        f"{t}_d AS (SELECT * FROM {t} QUALIFY row_number() OVER "
+        f"(PARTITION BY plant_code, generator_id ORDER BY file_year DESC, file_date DESC) = 1),\n"
+        for t in src) if dedupe else ""
+    return with_fixture(newest + f"""
+rg AS ({_ret(src['generator_retired'], f'''sum(nameplate_capacity_mw) AS g,
          sum(CASE WHEN {_UP} IN {RENEWABLE} THEN nameplate_capacity_mw ELSE 0 END) AS r,
          sum(CASE WHEN {_UP} IN {FOSSIL} THEN nameplate_capacity_mw ELSE 0 END) AS f''')}),
-rs AS ({_ret('solar_retired', 'sum(nameplate_capacity_mw) AS s')}),
-rw AS ({_ret('wind_retired', 'sum(nameplate_capacity_mw) AS w')}),
-re AS ({_ret('energystorage_retired', 'sum(nameplate_capacity_mw) AS e')}),
+rs AS ({_ret(src['solar_retired'], 'sum(nameplate_capacity_mw) AS s')}),
+rw AS ({_ret(src['wind_retired'], 'sum(nameplate_capacity_mw) AS w')}),
+re AS ({_ret(src['energystorage_retired'], 'sum(nameplate_capacity_mw) AS e')}),
 ret_long AS (
   SELECT state, county, coalesce(g, 0) AS g, coalesce(r, 0) AS r, coalesce(f, 0) AS f,
          0 AS s, 0 AS w, 0 AS e FROM rg
@@ -312,8 +320,8 @@ ret_long AS (
   UNION ALL SELECT state, county, 0, 0, 0, 0, 0, coalesce(e, 0) FROM re),
 ret AS (SELECT state, county, sum(g) AS g, sum(r) AS r, sum(f) AS f, sum(s) AS s,
                sum(w) AS w, sum(e) AS e FROM ret_long GROUP BY 1, 2),
-pg AS ({_prop('generator_proposed', 'proposed_gen_mw')}),
-ps AS ({_prop('energystorage_proposed', 'proposed_storage_mw')}),
+pg AS ({_prop(src['generator_proposed'], 'proposed_gen_mw')}),
+ps AS ({_prop(src['energystorage_proposed'], 'proposed_storage_mw')}),
 j AS (
   SELECT coalesce(ret.state, pg.state, ps.state) AS state,
          coalesce(ret.county, pg.county, ps.county) AS county,
@@ -341,6 +349,11 @@ FROM j
 """)
 
 
+VIEW_SQL["view_j"] = _view_j(False)
+VIEW_SQL["view_j_dedupe"] = _view_j(True)
+
+
+
 
 
 # ---------------------------------------------------------------------------

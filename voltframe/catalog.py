@@ -37,6 +37,7 @@ QUERIES: dict[str, Query] = {
     "view_h": _view(V.generators_reaching_retirement),
     "view_i": _view(V.capacity_by_tech_geo_year),
     "view_j": _view(V.additions_vs_retirements_geo),
+    "view_j_dedupe": _view(V.additions_vs_retirements_geo, dedupe=True),
     "view_g_evolution": _view(V.capacity_mix_evolution),
     "view_h_gap": _view(V.retirement_capacity_gap),
     "view_i_change": _view(V.penetration_change),
