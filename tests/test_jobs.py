@@ -66,6 +66,8 @@ def test_derive_schemas(spark, tmp_path):
     assert types[("utility.utility", "entity_type")] == "BOOLEAN"
     ddl = {r.table_name: r.ddl for r in spark.read.json(f"{out}/table_ddls").collect()}
     assert ddl["utility.utility"].startswith("CREATE TABLE utility.utility(\n\tutility_id BIGINT,")
+    text = "\n".join(r.value for r in spark.read.text(f"{out}/table_ddls.sql").collect())
+    assert text.startswith("CREATE SCHEMA generator;\nCREATE SCHEMA utility;\nCREATE TABLE generator.operable(")
 
 
 def test_load_raw(spark, tmp_path):

@@ -81,6 +81,10 @@ def derive_schemas(spark: SparkSession, landing: str, out: str, start_year: int,
     }
     for name, df in artefacts.items():
         write_metadata(df, f"{out.rstrip('/')}/{name}")
+    # The DDL as one SQL text file (a row per schema and table, so one task is bounded).
+    script = P.ddl_script(artefacts["table_ddls"])
+    (script.repartition(1).sortWithinPartitions("kind", "name").select("statement")
+     .write.mode("overwrite").text(f"{out.rstrip('/')}/table_ddls.sql"))
     return artefacts
 
 

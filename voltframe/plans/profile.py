@@ -182,3 +182,17 @@ def declared_schema(consolidated: DataFrame) -> DataFrame:
     return consolidated.select("table_name", "column_name", sql_type.alias("sql_type"),
                                "first_year", "first_position")
 
+
+
+def ddl_script(rendered: DataFrame) -> DataFrame:
+    """P8 text artefact: sorted ``CREATE SCHEMA`` statements, then the tables.
+
+    One row per statement, ordered by ``ordinal`` (schemas first, then tables
+    by name); the row count is the number of tables, not data.
+    """
+    schemas = (rendered.select(F.split("table_name", r"\.")[0].alias("name")).distinct()
+               .select(F.lit(0).alias("kind"), "name",
+                       F.concat(F.lit("CREATE SCHEMA "), F.col("name"), F.lit(";")).alias("statement")))
+    tables = rendered.select(F.lit(1).alias("kind"), F.col("table_name").alias("name"),
+                             F.concat(F.col("ddl"), F.lit("\n")).alias("statement"))
+    return schemas.unionByName(tables)
