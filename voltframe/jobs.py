@@ -69,10 +69,14 @@ def derive_schemas(spark: SparkSession, landing: str, out: str, start_year: int,
             cols = [c for c in group.columns if c not in ("file_year", "file_date")]
             groups.append((table, group.select("file_year", *cols)))
     profile = P.profile_table(P.long_cells(groups), strict_yn=strict_yn)
+    # Write the per-year profile once; every other artefact is derived from that
+    # copy instead of re-profiling the extracts.
+    profile_path = f"{out.rstrip('/')}/year_schemas"
+    write_metadata(profile, profile_path)
+    profile = spark.read.schema(profile.schema).json(profile_path)
     consolidated = P.consolidate_types(profile, widen_numeric=widen_numeric)
     present = P.years_present(profile)
     artefacts = {
-        "year_schemas": profile,
         "table_schemas": P.declared_schema(consolidated),
         "table_years": present,
         "missing_years": P.missing_years(present, start_year, end_year),
@@ -81,6 +85,7 @@ def derive_schemas(spark: SparkSession, landing: str, out: str, start_year: int,
     }
     for name, df in artefacts.items():
         write_metadata(df, f"{out.rstrip('/')}/{name}")
+    artefacts["year_schemas"] = profile
     # The DDL as one SQL text file (a row per schema and table, so one task is bounded).
     script = P.ddl_script(artefacts["table_ddls"])
     (script.repartition(1).sortWithinPartitions("kind", "name").select("statement")

@@ -26,10 +26,17 @@ PROFILE_KEYS = ("table_name", "file_year", "column_name")
 
 
 class LongCells(NamedTuple):
-    """Long form of raw extracts: ``cells`` (file_year, cid, position, value) plus
-    ``columns`` (cid, table_name, column_name), one row per extract column."""
+    """Long form of raw extracts.
+
+    ``cells``   (file_year, cid, value): one row per non-NULL cell, plus one
+                marker cell per source row (cid < 0, one id per scan group)
+    ``layout``  (marker, cid, position): which columns each scan group has
+    ``columns`` (cid, table_name, column_name): one row per (table, column)
+    Both small frames are schema metadata, built on the driver.
+    """
 
     cells: DataFrame
+    layout: DataFrame
     columns: DataFrame
 
 
@@ -37,25 +44,37 @@ def long_cells(groups: Iterable[tuple[str, DataFrame]]) -> LongCells:
     """Scan groups ``(table, DataFrame of file_year + text columns)`` -> long cells.
 
     Each (table, column) gets one integer id across all groups, so the shuffle
-    keys are (year, id, value) instead of two repeated strings per cell; the
-    names come back through a join with the column list, which is schema
-    metadata (one row per column) and therefore safe to broadcast.
+    keys are (year, id, value) instead of two repeated strings per cell; names
+    come back through a broadcast join with the column list.  NULL cells are
+    not emitted (survey sheets are mostly empty columns); the row marker gives
+    the rows per group and year, and NULLs are rows minus non-NULL values, so
+    every extract is scanned once.
     """
     groups = list(groups)
     ids: dict[tuple[str, str], int] = {}
+    layout: list[tuple[int, int, int]] = []
     parts = []
-    for table, df in groups:
+    for g, (table, df) in enumerate(groups):
         cols = [c for c in df.columns if c != "file_year"]
-        cells = [F.struct(F.lit(ids.setdefault((table, c), len(ids))).alias("cid"),
-                          F.lit(pos).alias("position"),
-                          F.col(c).cast("string").alias("value"))
-                 for pos, c in enumerate(cols)]
-        parts.append(df.select(F.col("file_year").cast("int").alias("file_year"),
-                               F.inline(F.array(*cells))))
+        marker = -(g + 1)
+        cid = {c: ids.setdefault((table, c), len(ids)) for c in cols}
+        layout += [(marker, cid[c], pos) for pos, c in enumerate(cols)]
+        # Built as SQL text: one call per projection, however wide the sheet.
+        cells = ", ".join([f"named_struct('cid', {marker}, 'value', '')"]
+                          + [f"named_struct('cid', {cid[c]}, 'value', CAST({_q(c)} AS STRING))"
+                             for c in cols])
+        parts.append(df.selectExpr(
+            "CAST(file_year AS INT) AS file_year",
+            f"inline(filter(array({cells}), x -> x.value IS NOT NULL))"))
     spark = groups[0][1].sparkSession
-    columns = spark.createDataFrame([(cid, t, c) for (t, c), cid in ids.items()],
+    columns = spark.createDataFrame([(i, t, c) for (t, c), i in ids.items()],
                                     "cid int, table_name string, column_name string")
-    return LongCells(union_long(parts), columns)
+    layout_df = spark.createDataFrame(layout, "marker int, cid int, position int")
+    return LongCells(union_long(parts), layout_df, columns)
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def union_long(parts: Iterable[DataFrame]) -> DataFrame:
@@ -76,29 +95,39 @@ def profile_table(long: LongCells, strict_yn: bool = False) -> DataFrame:
     ``strict_yn`` (Q8) only calls a column Boolean when its values are Y, N or NULL,
     so a ``{NULL, 'text'}`` column is not turned into an all-NULL boolean.
     """
-    per_value = long.cells.groupBy("file_year", "cid", "value").agg(
-        F.count(F.lit(1)).alias("n"), F.min("position").alias("position"))
+    per_value = long.cells.groupBy("file_year", "cid", "value").agg(F.count(F.lit(1)).alias("n"))
     v = F.col("value")
-    stats = per_value.groupBy("file_year", "cid").agg(
-        F.min("position").alias("position"),
-        F.sum("n").alias("n_rows"),
-        F.count(F.lit(1)).alias("distinct_count"),
+    values = per_value.where(F.col("cid") >= 0).groupBy("file_year", "cid").agg(
+        F.sum("n").alias("non_null"),
+        F.count(F.lit(1)).alias("distinct_values"),
         F.max(F.length(v)).alias("text_len"),
-        F.count_if(v.isNotNull() & v.try_cast("bigint").isNull()).alias("not_int"),
-        F.count_if(v.isNotNull() & v.try_cast("double").isNull()).alias("not_num"),
-        F.count_if(v.isNotNull() & ~v.isin("Y", "N")).alias("not_yn"),
-    ).join(F.broadcast(long.columns), "cid")
-    two_values = F.col("distinct_count") == 2
+        F.count_if(v.try_cast("bigint").isNull()).alias("not_int"),
+        F.count_if(v.try_cast("double").isNull()).alias("not_num"),
+        F.count_if(~v.isin("Y", "N")).alias("not_yn"))
+    group_rows = (per_value.where(F.col("cid") < 0)
+                  .select("file_year", F.col("cid").alias("marker"), F.col("n").alias("rows")))
+    totals = (group_rows.join(F.broadcast(long.layout), "marker")
+              .groupBy("file_year", "cid").agg(F.min("position").alias("position"),
+                                               F.sum("rows").alias("n_rows")))
+    stats = (totals.join(values, ["file_year", "cid"], "left")
+             .join(F.broadcast(long.columns), "cid")
+             .withColumn("n_null", F.col("n_rows") - F.coalesce(F.col("non_null"), F.lit(0))))
+    distinct = (F.coalesce(F.col("distinct_values"), F.lit(0))
+                + F.when(F.col("n_null") > 0, 1).otherwise(0)).cast("bigint")
+    not_int = F.coalesce(F.col("not_int"), F.lit(0))
+    not_num = F.coalesce(F.col("not_num"), F.lit(0))
+    two_values = distinct == 2
     if strict_yn:
-        two_values = two_values & (F.col("not_yn") == 0)
+        two_values = two_values & (F.coalesce(F.col("not_yn"), F.lit(0)) == 0)
     col_type = (F.when(two_values, F.lit("Boolean"))
-                .when(F.col("not_int") == 0, F.lit("Int64"))
-                .when(F.col("not_num") == 0, F.lit("Float64"))
+                .when(not_int == 0, F.lit("Int64"))
+                .when(not_num == 0, F.lit("Float64"))
                 .otherwise(F.lit("String")))
-    reader_string = (F.col("not_int") > 0) & (F.col("not_num") > 0)
+    reader_string = (not_int > 0) & (not_num > 0)
     return stats.select(
-        *PROFILE_KEYS, "position", "n_rows", "distinct_count",
-        (F.col("distinct_count") == F.col("n_rows")).alias("is_unique"),
+        *PROFILE_KEYS, "position", F.col("n_rows").cast("bigint").alias("n_rows"),
+        distinct.alias("distinct_count"),
+        (distinct == F.col("n_rows")).alias("is_unique"),
         F.when(reader_string, F.col("text_len")).cast("bigint").alias("max_len"),
         col_type.alias("col_type"))
 

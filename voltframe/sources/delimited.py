@@ -30,10 +30,17 @@ def read_header(spark: SparkSession, path: str, header_line: int = 1) -> list[st
     return next(csv.reader([lines[header_line].value]))
 
 
-def group_by_header(spark: SparkSession, paths: Iterable[str]) -> dict[tuple[str, ...], list[str]]:
+def group_by_header(spark: SparkSession, paths: Iterable[str],
+                    max_parallel: int = 8) -> dict[tuple[str, ...], list[str]]:
+    """Header of every file (a two-line read each, submitted concurrently), grouped."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    paths = list(paths)
+    with ThreadPoolExecutor(max_workers=max_parallel) as pool:
+        headers = list(pool.map(lambda p: tuple(read_header(spark, p)), paths))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for p in paths:
-        groups[tuple(read_header(spark, p))].append(p)
+    for header, p in zip(headers, paths):
+        groups[header].append(p)
     return dict(groups)
 
 
