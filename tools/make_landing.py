@@ -34,6 +34,9 @@ def make_landing(spark: SparkSession, sf_dir: str, landing: str, scratch: str) -
         survey = [f.name for f in registry.survey_schema(name).fields]
         df = tables[name].select("file_year", *[F.col(c).alias(raw_header(c)) for c in survey])
         out = f"{scratch}/{name}"
+        # Test-input setup only: the landing layout needs exactly one file per
+        # (table, year), so each year goes to one task here.  Library writers
+        # use write_releases (rebalance, hot years split over several tasks).
         df.repartition("file_year").write.mode("overwrite").partitionBy("file_year") \
           .option("header", "true").csv(out)
         for part in sorted(glob.glob(f"{out}/file_year=*/part-*.csv")):

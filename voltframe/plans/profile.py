@@ -107,6 +107,7 @@ def profile_table(long: LongCells, strict_yn: bool = False) -> DataFrame:
         F.count_if(~v.isin("Y", "N")).alias("not_yn"))
     group_rows = (per_value.where(F.col("cid") < 0)
                   .select("file_year", F.col("cid").alias("marker"), F.col("n").alias("rows")))
+    # layout / columns: one row per extract column (schema metadata, bounded).
     totals = (group_rows.join(F.broadcast(long.layout), "marker")
               .groupBy("file_year", "cid").agg(F.min("position").alias("position"),
                                                F.sum("rows").alias("n_rows")))
