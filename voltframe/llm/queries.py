@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltframe.llm import bpe, mixing
+from voltframe.llm import bpe, mixing, quality_rules, warc
 from voltframe.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to seekable WARC bundles and read back."""
+    rows = warc.archive_and_read(read_table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix to target weights takes of each document."""
     rows = mixing.mixture(read_table(spark, sf_dir, "documents"))
@@ -25,12 +31,34 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word, symbol and repetition counts of each document and the rules' joint verdict."""
+    rows = quality_rules.judge(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       "base_failed", "kept", "good_probability")
+
+
 QUERIES: dict[str, Query] = {
+    "op2_warc": op2_warc,
     "op4_mixing": op4_mixing,
     "op8_bpe": op8_bpe,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_warc": r"""
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p)
+SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda k: substr(
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST((CAST('0x' || substr(digest, 1 + 5 * (k // 4), 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31 AS BIGINT) + 1,
+         1)), '') AS payload_digest,
+       CASE WHEN page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first_id THEN first_id END AS refers_to
+FROM f
+""",
     "op4_mixing": r"""
 WITH sized AS (
   SELECT doc_id, source,
