@@ -9,10 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltframe.llm import bpe, mixing
+from voltframe.llm import bpe, mixing, toxicity
 from voltframe.llm.common import read_table, staged
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the toxicity model rejects."""
+    return toxicity.reject_toxic(docs, read_table(spark, sf_dir, "labels"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats and drops documents so that sources come near their target weights."""
     return mixing.mix(docs)
@@ -24,6 +29,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("mixing", mix_sources),
     ("bpe", encode),
 ]

@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltframe.llm import bpe, mixing, quality_rules, warc
+from voltframe.llm import bpe, mixing, quality_rules, toxicity, warc
 from voltframe.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of each document, learned from the labels that are not held out."""
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written to seekable WARC bundles and read back."""
     rows = warc.archive_and_read(read_table(spark, sf_dir, "pages"))
@@ -39,6 +44,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
     "op4_mixing": op4_mixing,
     "op8_bpe": op8_bpe,
