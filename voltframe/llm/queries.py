@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltframe.llm import bpe, mixing, quality_rules, toxicity, warc
+from voltframe.llm import bpe, mixing, quality_rules, rule_ensemble, toxicity, warc
 from voltframe.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of each document, learned from the labels that are not held out."""
+    return rule_ensemble.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded text of each document."""
     return bpe.digests(read_table(spark, sf_dir, "documents"))
@@ -47,6 +52,7 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
     "op4_mixing": op4_mixing,
+    "op5_quality_classifier": op5_quality_classifier,
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
 }
