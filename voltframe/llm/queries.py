@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltframe.llm import bpe, mixing, quality_rules, rule_ensemble, toxicity, warc
+from voltframe.llm import bpe, fingerprints, mixing, quality_rules, rule_ensemble, toxicity, warc
 from voltframe.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "base_failed", "kept", "good_probability")
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how like they are."""
+    return fingerprints.compare_with_edits(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
@@ -55,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "op5_quality_classifier": op5_quality_classifier,
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE_SQL: dict[str, str] = {
