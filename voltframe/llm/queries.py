@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltframe.llm import bpe, fingerprints, mixing, quality_rules, rule_ensemble, toxicity, warc
+from voltframe.llm import (bpe, fingerprints, jaccard_join, mixing, quality_rules, rule_ensemble, suffix_dedup,
+                           toxicity, warc)
 from voltframe.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,16 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ensemble.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of each document without the 50-byte strings that earlier ones have."""
+    return suffix_dedup.digests(read_table(spark, sf_dir, "documents"))
+
+
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of 3-word shingles are at least 90 % alike."""
+    return jaccard_join.join(read_table(spark, sf_dir, "documents"), 3, jaccard_join.Threshold(9, 10))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded text of each document."""
     return bpe.digests(read_table(spark, sf_dir, "documents"))
@@ -58,6 +69,8 @@ QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
     "op4_mixing": op4_mixing,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_fingerprints": op10_fingerprints,
