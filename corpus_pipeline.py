@@ -8,8 +8,9 @@ columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voltframe.llm import bpe, mixing, toxicity
+from voltframe.llm import bpe, jaccard_join, mixing, pii, toxicity
 from voltframe.llm.common import read_table, staged
 
 
@@ -18,6 +19,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.reject_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose sets of 5-word shingles are at least 80 % alike."""
+    return jaccard_join.keep_one(docs, 5, jaccard_join.Threshold(4, 5))
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts replaced by its kind; ``n_chars`` follows the text."""
+    clean = pii.redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats and drops documents so that sources come near their target weights."""
     return mixing.mix(docs)
@@ -30,6 +42,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("jaccard_join", drop_near_copies),
+    ("pii", redact_personal_data),
     ("mixing", mix_sources),
     ("bpe", encode),
 ]

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltframe.llm import (bpe, fingerprints, jaccard_join, mixing, quality_rules, rule_ensemble, suffix_dedup,
-                           toxicity, warc)
+from voltframe.llm import (bpe, fingerprints, jaccard_join, mixing, pii, quality_rules, rule_ensemble,
+                           suffix_dedup, toxicity, warc)
 from voltframe.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in each document: base spans and those that the labelers' model adds."""
+    return pii.find(read_table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix to target weights takes of each document."""
     rows = mixing.mixture(read_table(spark, sf_dir, "documents"))
@@ -67,6 +72,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
+    "op3_pii": op3_pii,
     "op4_mixing": op4_mixing,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_suffix_dedup": op6_suffix_dedup,
