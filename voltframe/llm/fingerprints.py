@@ -101,9 +101,11 @@ def followers(ids: DataFrame) -> DataFrame:
 
 
 def with_edited(docs: DataFrame) -> DataFrame:
-    """doc_id, next_id, text and edited: the last quarter replaced by the next document's opening."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of("text").alias("text"))
-    placed = rows.where("doc_id is not null")
+    """doc_id, next_id, text and edited: the last quarter replaced by the next document's opening.
+
+    Rows without doc_id are left out.  The rows stay partitioned by doc_id.
+    """
+    placed = _rows(docs).where("doc_id is not null")
     quarter = F.floor(F.length("text") / 4).cast("int")
     # Identifiers and lengths only: the longest opening that rows of this id ask of the next document.
     asked = staged(placed.groupBy("doc_id").agg(F.max(quarter).alias("asked")), "asked")
@@ -115,25 +117,28 @@ def with_edited(docs: DataFrame) -> DataFrame:
                 .select("before_id", "doc_id", F.expr("substring(text, 1, asked)").alias("opening"))
                 .groupBy("before_id", "doc_id").agg(F.min("opening").alias("opening"))
                 .select(F.col("before_id").alias("doc_id"), F.col("doc_id").alias("next_id"), "opening"))
-    edited = placed.join(openings, "doc_id", "left").select(
+    return placed.join(openings, "doc_id", "left").select(
         "doc_id", "next_id", "text",
         F.expr("concat(substring(text, 1, length(text) - floor(length(text) / 4)), "
                "substring(coalesce(opening, ''), 1, floor(length(text) / 4)))").alias("edited"))
-    alone = rows.where("doc_id is null").select(
-        "doc_id", F.lit(None).cast("bigint").alias("next_id"), "text", F.col("text").alias("edited"))
-    return edited.unionAll(alone)
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    # A bigint doc_id stays the column it is: an alias would make the two shuffles of with_edited() differ.
+    own = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("bigint").alias("doc_id")
+    return docs.select(own, text_of("text").alias("text"))
 
 
 def fingerprint(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """doc_id and the signature of each row's text."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of("text").alias("text"))
+    rows = _rows(docs)
     rows = weighted_terms(rows.withColumn("text_sha256", F.sha2("text", 256)), "text", "terms")
     return signatures(rows, ["doc_id", "text_sha256"], "terms", samples)
 
 
-def compare_with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
-    """Fingerprints of every text and its edited text, and their likeness to each other and to the next."""
-    rows = with_edited(docs).withColumns({
+def _signed(rows: DataFrame, samples: int) -> DataFrame:
+    """The signatures of text and edited of each row; partitioned by doc_id, the rows are not shuffled."""
+    rows = rows.withColumns({
         "n_chars": F.length("text").cast("bigint"), "text_sha256": F.sha2("text", 256),
         "edited_sha256": F.sha2("edited", 256)})
     keys = ["doc_id", "next_id", "n_chars", "text_sha256", "edited_sha256"]
@@ -143,7 +148,14 @@ def compare_with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     both = weighted_terms(both.select(*keys, "_v.kind", "_v.version"), "version", "terms")
     drawn = signatures(both, [*keys, "kind"], "terms", samples)
     of = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("signature")))
-    pairs = staged(drawn.groupBy(*keys).agg(of(0).alias("own"), of(1).alias("edit")), "signatures")
+    return drawn.groupBy(*keys).agg(of(0).alias("own"), of(1).alias("edit"))
+
+
+def compare_with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
+    """Fingerprints of every text and its edited text, and their likeness to each other and to the next."""
+    alone = _rows(docs).where("doc_id is null").select(
+        "doc_id", F.lit(None).cast("bigint").alias("next_id"), "text", F.col("text").alias("edited"))
+    pairs = staged(_signed(with_edited(docs), samples).unionAll(_signed(alone, samples)), "signatures")
     following = pairs.groupBy(F.col("doc_id").alias("next_id")).agg(F.min("own").alias("next_own"))
     joined = pairs.join(following, "next_id", "left")
     return joined.select(
