@@ -36,7 +36,7 @@ from voltframe.jobs import derive_schemas, load_raw  # noqa: E402
 from voltframe.plans import profile as P  # noqa: E402
 from tools.make_landing import make_landing  # noqa: E402
 from voltframe.plans import views as V  # noqa: E402
-from voltframe.session import build_session  # noqa: E402
+from voltframe.session import build_session, shared_folder  # noqa: E402
 from voltframe.sources.catalog import read_tables  # noqa: E402
 from voltframe.sources.sinks import write_tables  # noqa: E402
 
@@ -85,7 +85,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="voltframe-bench",
                           driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "4g"))
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/voltframe-bench"
+    base = shared_folder(spark)
     warehouse = f"{base.rstrip('/')}/bench-{uuid.uuid4().hex[:8]}"
     times: dict[str, float] = {}
 

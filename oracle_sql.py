@@ -85,7 +85,10 @@ def with_fixture(body: str) -> str:
 
 
 def pct(num: str, den: str) -> str:
-    return f"round(100.0 * (CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0)), 2)"
+    """ROUND(100 * num / den, 2), half away from zero, in whole numbers; NULL for a zero denominator."""
+    n, d = (f"CAST(CAST({x} AS DECIMAL(28,6)) * 1000000 AS HUGEINT)" for x in (num, den))
+    return (f"sign({n}) * sign({d}) * CAST((abs({n}) * 20000 + abs({d})) // (2 * NULLIF(abs({d}), 0)) AS DOUBLE)"
+            f" / 100.0")
 
 
 MAX_YEAR = "(SELECT max(file_year) FROM generator_operable)"
@@ -686,13 +689,14 @@ stats AS (
          max(length(value)) AS text_len,
          count(*) FILTER (WHERE value IS NOT NULL
                           AND NOT regexp_matches(value, '^\\s*[+-]?[0-9]+\\s*$')) AS not_int,
-         count(*) FILTER (WHERE value IS NOT NULL AND TRY_CAST(value AS DOUBLE) IS NULL) AS not_num
+         count(*) FILTER (WHERE value IS NOT NULL AND NOT regexp_matches(value, '^\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*$')) AS not_num
   FROM pv GROUP BY 1, 2, 3),
 prof AS (
   SELECT table_name, file_year, column_name, position, n_rows, distinct_count,
          distinct_count = n_rows AS is_unique,
          CASE WHEN not_int > 0 AND not_num > 0 THEN CAST(text_len AS BIGINT) END AS max_len,
-         CASE WHEN distinct_count = 2 THEN 'Boolean'
+         CASE WHEN text_len IS NULL THEN NULL
+              WHEN distinct_count = 2 THEN 'Boolean'
               WHEN not_int = 0 THEN 'Int64'
               WHEN not_num = 0 THEN 'Float64'
               ELSE 'String' END AS col_type
@@ -738,13 +742,15 @@ SELECT table_name, CAST(count(*) AS INTEGER) AS n_columns,
        || string_agg(column_name || ' ' || CASE col_type WHEN 'Int64' THEN 'BIGINT'
                                                         WHEN 'Float64' THEN 'NUMERIC(18, 6)'
                                                         WHEN 'Boolean' THEN 'BOOLEAN'
-                                                        ELSE 'VARCHAR' END,
+                                                        ELSE 'VARCHAR' END
+                     || CASE WHEN key_place = 1 AND is_key THEN ' PRIMARY KEY' ELSE '' END,
                      ',' || chr(10) || chr(9) ORDER BY first_seen.y, first_seen.p)
        || ',' || chr(10) || chr(9) || 'file_year INT NOT NULL'
        || ',' || chr(10) || chr(9) || 'file_date TIMESTAMP NOT NULL'
        || ',' || chr(10) || chr(9) || 'upload_timestamp TIMESTAMP DEFAULT CURRENT_TIMESTAMP NOT NULL'
        || chr(10) || ');' AS ddl
-FROM cons GROUP BY table_name""")
+FROM (SELECT *, row_number() OVER (PARTITION BY table_name, is_key ORDER BY first_seen.y, first_seen.p) AS key_place
+      FROM (SELECT *, is_unique AND col_type = 'Int64' AS is_key FROM cons)) GROUP BY table_name""")
 
 CONFORMED = RELEASES + """,
 conformed AS (
@@ -784,19 +790,33 @@ SELECT o_orderkey, file_year, CAST(o_totalprice * 2 AS DOUBLE) FROM conformed WH
 """, CONFORMED)
 
 _STD = ("regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace({x}, "
-        "'\\d+__|Y\\d+\\.xlsx', '', 'g'), '^(\\d+_\\d+_+|_+)', '')), '[[:punct:]]', '', 'g'), "
-        "'\\s+', '_', 'g')")
+        "'\\p{{Nd}}+__|Y\\p{{Nd}}+\\.xlsx', '', 'g'), '^(\\p{{Nd}}+_\\p{{Nd}}+_+|_+)', '')), '[[:punct:]]', '', 'g'), "
+        "'[\\s\\p{{Z}}\\x1c-\\x1f\\x85]+', '_', 'g')")
 _HEADER = "CAST(p_size AS VARCHAR) || '__' || p_type || ' ' || p_name || ' (' || p_brand || ')'"
 _FILE = ("'3_' || CAST(p_size % 9 AS VARCHAR) || '_' || p_type || '_Y' "
          "|| CAST(1995 + p_partkey % 7 AS VARCHAR) || '.xlsx'")
+_UNICODE = "chr(1635) || '__' || p_type || chr(160) || p_brand || chr(8195) || 'ID'"
 INGEST_SQL["name_standardize"] = f"""
 SELECT p_partkey,
+       {_STD.format(x=_UNICODE)} AS unicode_name,
        {_STD.format(x=_HEADER)} AS header_name,
        substr({_STD.format(x="concat_ws(' ', " + _HEADER + ", p_name, p_name, p_name, p_name, p_name)")}, 1, 63)
          AS column_name,
        {_STD.format(x=_FILE)} AS topic
 FROM part
 """
+_BOOK = ("CASE p_partkey % 5 WHEN 0 THEN '~$3_1_' || p_type || '_Y2001.xlsx' WHEN 1 THEN 'LayoutY2001.xlsx' "
+         "WHEN 2 THEN '3_1_' || p_type || '_Y2001.xlsx' WHEN 3 THEN '2___' || p_brand || '_Y1999.xlsx' "
+         "ELSE p_name || '.txt' END")
+INGEST_SQL["file_filter"] = f"""
+SELECT p_partkey, {_BOOK} AS file_name FROM part
+WHERE ({_BOOK}) LIKE '%.xlsx' AND ({_BOOK}) NOT LIKE '~%' AND ({_BOOK}) NOT LIKE '%LayoutY%'
+  AND ({_BOOK}) NOT LIKE '%EIA-860 Form%'
+"""
+INGEST_SQL["table_routing"] = f"""
+SELECT p_partkey, {_STD.format(x="(" + _BOOK + ")")} || '.' || {_STD.format(x="p_container")} AS table_name
+FROM (SELECT *, p_brand || ' & ' || p_name AS p_container FROM part)
+"""
 INGEST_SQL["lineage_columns"] = """
 SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS file_year,
        true AS has_file_date, true AS has_upload_timestamp

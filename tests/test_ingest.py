@@ -8,11 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltframe.sources.delimited import read_extracts
+from voltframe.sources.delimited import data_rows, load_report, read_extracts, rejected_rows
 from voltframe.sources.ingest import add_lineage, conform, reject_counts
-from voltframe.sources.load import load_releases
-from voltframe.sources.releases import (SURVEY_TABLE_MAP, check_year_range, is_data_file,
-                                        list_release_files, route_sheets, routing_frame, select_years)
+from voltframe.sources.releases import SURVEY_TABLE_MAP, check_year_range, is_data_file, select_years, table_names
 from voltframe.sources.sinks import replace_years, write_metadata, write_releases
 
 SCHEMA = T.StructType([
@@ -65,42 +63,47 @@ def test_file_filter(spark):
     assert kept == ["3_1_Generator_Y2023.xlsx"]
 
 
-def test_listing_and_routing(spark, landing):
-    files = list_release_files(spark, str(landing / "landing"), suffix=".csv")
-    got = sorted((r.file_year, r.file_name) for r in files.collect())
-    assert got == [(2022, "3_1_Generator_Y2022.csv"), (2023, "3_1_Generator_Y2023.csv")]
-    sheets = spark.createDataFrame([("3_1_Generator_Y2023.xlsx", "Operable"),
-                                    ("3_1_Generator_Y2023.xlsx", "Unknown Sheet")],
-                                   "file_name string, sheet string")
-    routed = {r.sheet: r.table_name for r in route_sheets(sheets, routing_frame(spark, SURVEY_TABLE_MAP)).collect()}
-    assert routed == {"Operable": "generator.operable", "Unknown Sheet": None}
+def test_routing_by_name_equals_the_known_map(spark):
+    books = {"energystorage": "3_4_Energy_Storage_Y2023.xlsx", "enviroassoc": "6_1_EnviroAssoc_Y2023.xlsx"}
+    rows = [(books.get(topic, f"3_1_{topic.title()}_Y2023.xlsx"), sheet, table)
+            for topic, sheets in SURVEY_TABLE_MAP.items() for sheet, table in sheets.items()]
+    df = spark.createDataFrame(rows, "workbook string, sheet string, want string")
+    assert df.count() == 30 and table_names(df).where("table_name <> want").count() == 0
 
 
-def test_delimited_read_drops_title_header_and_footnote(spark, landing):
+def test_delimited_read_keeps_every_record(spark, landing):
     paths = sorted(str(p) for p in (landing / "landing").rglob("3_1_*.csv"))
     groups = read_extracts(spark, paths)
     assert len(groups) == 2  # two distinct headers -> two scans
-    rows = sorted((r.file_year, r.utility_id) for g in groups for r in g.collect())
+    rows = sorted((r.file_year, r.utility_id) for g in groups for r in data_rows(g).collect())
     assert rows == [(2022, "1"), (2022, "2"), (2022, "3"), (2023, "1"), (2023, "4")]
-
-
-def test_load_releases_conforms_and_is_idempotent(spark, landing, tmp_path):
-    paths = sorted(str(p) for p in (landing / "landing").rglob("3_1_*.csv"))
-    target = str(tmp_path / "generator.operable")
-    load_releases(spark, paths, "generator.operable", target, 2022, 2023, SCHEMA)
-    load_releases(spark, paths, "generator.operable", target, 2023, 2023, SCHEMA)  # reload one year
-    out = spark.read.parquet(target)
-    got = sorted((r.file_year, r.utility_id, r.utility_name, r.nameplate_capacity_mw, r.multiple_fuels, r.status)
-                 for r in out.collect())
-    assert got == [
-        (2022, 1, "Alpha, Inc.", Decimal("10.500000"), True, None),
-        (2022, 2, "Beta", Decimal("20.000000"), False, None),
-        (2022, 3, "Gamma", None, None, None),
-        (2023, 1, "Alpha", Decimal("11.000000"), None, "OP"),
-        (2023, 4, "Delta", Decimal("7.250000"), None, "SB"),
-    ]
-    assert "retired_column" not in out.columns
-    assert out.where("file_date IS NULL OR upload_timestamp IS NULL").count() == 0
+    rejects = [(r.file_year, r.record) for g in groups for r in rejected_rows(g).collect()]
+    assert rejects == [(2022, "NOTE: totals exclude confidential plants")]
+
+
+LOSSLESS = {
+    "doubled quotes": ('1,"Smith ""Big"" Plant, Inc",10\n', [("1", 'Smith "Big" Plant, Inc', "10")], 0),
+    "line break": ('1,"two\nlines",10\n2,b,11\n', [("1", "two\nlines", "10"), ("2", "b", "11")], 0),
+    "text and empty id": ('A7,a,10\n,b,11\n', [("A7", "a", "10"), (None, "b", "11")], 0),
+    "decimal id": ("3.0,a,10\n", [("3.0", "a", "10")], 0),
+    "surplus field": ("1,a,10,x\n2,b,11\n", [("2", "b", "11")], 1),
+    "missing field": ("1,a\r\n2,b,11\r\n", [("2", "b", "11")], 1),
+    "no rows": ("", [], 0),
+}
+
+
+@pytest.mark.parametrize("case", sorted(LOSSLESS))
+def test_lossless(spark, tmp_path, case):
+    body, want, rejected = LOSSLESS[case]
+    folder = tmp_path / "2022"
+    folder.mkdir()
+    path = folder / "x.csv"
+    path.write_text('Title, with commas\n"Utility\nID",Utility Name,"Plant Code"\n' + body, newline="")
+    (group,) = read_extracts(spark, [str(path)])
+    got = sorted(((r.utility_id, r.utility_name, r.plant_code) for r in data_rows(group).collect()), key=str)
+    assert got == sorted(want, key=str)
+    report = [(r.rows_read, r.rows_loaded, r.rows_rejected) for r in load_report([group]).collect()]
+    assert report == ([(len(want) + rejected, len(want), rejected)] if want or rejected else [])
 
 
 def test_reject_counts(spark):
@@ -119,6 +122,11 @@ def test_replace_years_semantics(spark):
     assert sorted(tuple(r) for r in twice.collect()) == got
     by_range = replace_years(existing, incoming, years=range(2022, 2024))
     assert sorted(tuple(r) for r in by_range.collect()) == got
+    # A requested year without data keeps its rows, and so do rows without a year.
+    only_2023 = replace_years(existing, incoming.where("file_year = 2023"), years=range(2022, 2024))
+    assert sorted(tuple(r) for r in only_2023.collect()) == [(2021, "a"), (2022, "b"), (2022, "c"), (2023, "D")]
+    no_year = spark.createDataFrame([(None, "n")], "file_year int, v string")
+    assert replace_years(no_year, incoming).where("v = 'n'").count() == 1
 
 
 def test_write_releases_replaces_only_given_years(spark, tmp_path):
@@ -155,10 +163,3 @@ def test_arrow_hand_over(spark):
     out = conform(df.withColumn("file_year", F.lit(2024)), "t", SCHEMA)
     got = sorted((r.utility_id, r.nameplate_capacity_mw) for r in out.collect())
     assert got == [(1, Decimal("1.500000")), (2, None)]
-
-
-def test_dropped_rows_report(spark, landing):
-    from voltframe.sources.delimited import dropped_rows
-    paths = sorted(str(p) for p in (landing / "landing").rglob("3_1_*.csv"))
-    # release 1: title, header, footnote; release 2: title, header
-    assert dropped_rows(spark, paths) == 5

@@ -57,7 +57,7 @@ def test_years_missing_and_render(spark):
                for r in P.missing_years(P.years_present(prof), 2020, 2022).collect()}
     assert missing == {"t.a": [2021], "t.b": [2020, 2022]}
     ddl = {r.table_name: r.ddl for r in P.render_schema(P.consolidate_types(P.profile_table(long))).collect()}
-    assert ddl["t.a"].startswith("CREATE TABLE t.a(\n\tid BIGINT,\n\textra VARCHAR,\n\tfile_year INT NOT NULL")
+    assert ddl["t.a"].startswith("CREATE TABLE t.a(\n\tid BIGINT PRIMARY KEY,\n\textra VARCHAR,\n\tfile_year INT NOT NULL")
     assert ddl["t.a"].endswith("upload_timestamp TIMESTAMP DEFAULT CURRENT_TIMESTAMP NOT NULL\n);")
 
 

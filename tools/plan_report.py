@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from voltframe.fixtures import SURVEY_TABLES_USED, fixture_tables  # noqa: E402
 from voltframe.plans import views as V  # noqa: E402
-from voltframe.session import build_session  # noqa: E402
+from voltframe.session import build_session, shared_folder  # noqa: E402
 from voltframe.sources.catalog import read_tables  # noqa: E402
 from voltframe.sources.sinks import write_tables  # noqa: E402
 
@@ -61,7 +61,7 @@ def summarize(text: str) -> tuple[str, list[str], dict[str, int]]:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("local[8]", 16)
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/voltframe-plans"
+    base = shared_folder(spark)
     root = f"{base.rstrip('/')}/plans-{uuid.uuid4().hex[:8]}"
     write_tables(fixture_tables(spark, sf_dir, stage_dir=f"{root}/_generator_rows"), root)
     tables = read_tables(spark, root, SURVEY_TABLES_USED)

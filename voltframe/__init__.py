@@ -7,7 +7,7 @@ Layout:
   operators/      DataFrame -> DataFrame building blocks (latest, change, share, ...)
   sources/        release selection, delimited extracts, ingest transforms, sinks
   plans/          the ten analytical views, README-intent views, profiling
-  streaming/      incremental landing of new releases
+  jobs            schema derivation and raw load over a landing folder
 """
 
 __version__ = "0.1.0"

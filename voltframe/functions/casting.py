@@ -28,9 +28,16 @@ def zero_if_null(c: Column | str) -> Column:
 
 
 def percent(numerator: Column, denominator: Column, digits: int = 2) -> Column:
-    """``ROUND(100 * n / d, digits)`` in DOUBLE; NULL instead of an error on d = 0 (Q16)."""
-    ratio = F.try_divide(numerator.cast("double"), denominator.cast("double"))
-    return F.round(F.lit(100.0) * ratio, digits)
+    """``ROUND(100 * n / d, digits)`` as NUMERIC computes it, half away from zero; NULL on d = 0 (Q16).
+
+    The quotient is rounded in whole numbers (counts and decimals of up to six places
+    are exact there), so a tie is a tie; the result leaves as DOUBLE.
+    """
+    whole = lambda c: (c.cast("decimal(28,6)") * 1_000_000).cast("decimal(34,0)")
+    n, d = whole(numerator), F.nullif(whole(denominator), F.lit(0).cast("decimal(34,0)"))
+    scaled = F.abs(n) * F.lit(200 * 10 ** digits).cast("decimal(8,0)") + F.abs(d)
+    rounded = F.call_function("div", scaled.cast("decimal(38,0)"), (F.abs(d) * 2).cast("decimal(38,0)"))
+    return F.signum(n.cast("double")) * F.signum(d.cast("double")) * rounded / F.lit(float(10 ** digits))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -1,67 +1,56 @@
-"""Standardisation of file, sheet and column names.
+"""Standardisation of file, sheet and column names, as one Column expression.
 
-Two equivalent forms: ``standardize_name`` for Python strings (column headers,
-file names) and ``standardize_name_col`` for a Spark column of names, so a
-listing of thousands of headers is normalised on the executors.
+Names in a DataFrame are standardised where they are; the few names that the
+driver knows (headers) go through the same expression in one small query.
 """
 
 from __future__ import annotations
 
-import re
-import string
+from functools import reduce
+from typing import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-# The name rules of the survey loader.
-DROP_PATTERN = r"\d+__|Y\d+\.xlsx"          # numbered prefixes, 'Y2023.xlsx' suffix
-LEADING_PATTERN = r"^(\d+_\d+_+|_+)"        # '3_1_' style or bare '_' prefix
-PUNCTUATION = string.punctuation            # ASCII punctuation, underscore included
-WHITESPACE_PATTERN = r"\s+"                 # whitespace runs become one '_'
-MAX_IDENTIFIER = 63                         # identifier length kept by the target store
+# The name rules of the survey loader, as (pattern, replacement) in order.
+# White space and digits are those of Unicode.
+BEFORE_LOWER = ((r"(?U)\d+__|Y\d+\.xlsx", ""),   # numbered prefixes, 'Y2023.xlsx' suffix
+                (r"(?U)^(\d+_\d+_+|_+)", ""))    # '3_1_' style or bare '_' prefix
+AFTER_LOWER = ((r"\p{Punct}", ""),               # ASCII punctuation, underscore included
+               (r"(?U)[\s\x1c-\x1f]+", "_"))     # white space runs become one '_'
+MAX_IDENTIFIER = 63                              # identifier length kept by the target store
 
-_punct_re = re.compile("[" + re.escape(PUNCTUATION) + "]")
+
+def standardize_name_col(c: Column | str) -> Column:
+    """T1: '3_1_Generator_Y2023.xlsx' -> 'generator'; 'Nameplate Capacity (MW)' -> 'nameplate_capacity_mw'."""
+    apply = lambda col, rule: F.regexp_replace(col, *rule)
+    column = F.col(c) if isinstance(c, str) else c
+    return reduce(apply, AFTER_LOWER, F.lower(reduce(apply, BEFORE_LOWER, column)))
 
 
-def standardize_name(raw: str) -> str:
-    """'3_1_Generator_Y2023.xlsx' -> 'generator'; 'Nameplate Capacity (MW)' -> 'nameplate_capacity_mw'."""
-    text = re.sub(DROP_PATTERN, "", raw)
-    text = re.sub(LEADING_PATTERN, "", text).lower()
-    text = _punct_re.sub("", text)
-    return re.sub(WHITESPACE_PATTERN, "_", text)
+def column_name_col(c: Column | str) -> Column:
+    """The name a raw header gets in the table."""
+    return F.substring(standardize_name_col(c), 1, MAX_IDENTIFIER)
 
 
 def truncate_name(name: str, limit: int = MAX_IDENTIFIER) -> str:
     return name[:limit]
 
 
-def column_name(raw: str) -> str:
-    """Standardised and truncated: the name a raw header gets in the table."""
-    return truncate_name(standardize_name(raw))
-
-
-def standardize_name_col(c: Column | str) -> Column:
-    """Column form of :func:`standardize_name` (JVM regex, no Python in the data path)."""
-    col = F.col(c) if isinstance(c, str) else c
-    col = F.regexp_replace(col, DROP_PATTERN, "")
-    col = F.lower(F.regexp_replace(col, LEADING_PATTERN, ""))
-    col = F.regexp_replace(col, r"\p{Punct}", "")
-    return F.regexp_replace(col, WHITESPACE_PATTERN, "_")
-
-
-def column_name_col(c: Column | str) -> Column:
-    return F.substring(standardize_name_col(c), 1, MAX_IDENTIFIER)
+def column_names(spark: SparkSession, raw_names: Sequence[str]) -> list[str]:
+    """The table names of raw headers, in one query over the list (no table is read)."""
+    if not raw_names:
+        return []
+    raw = F.array(*[F.lit(n) for n in raw_names])
+    return list(spark.range(1).select(F.transform(raw, column_name_col)).first()[0])
 
 
-def check_unique_names(raw_names: list[str]) -> list[str]:
+def check_unique_names(spark: SparkSession, raw_names: Sequence[str]) -> list[str]:
     """Q19: two raw headers that standardise to one name are an error, not a merge."""
-    seen: dict[str, str] = {}
-    out = []
-    for raw in raw_names:
-        name = column_name(raw)
-        if name in seen:
-            raise ValueError(
-                f"headers {seen[name]!r} and {raw!r} both standardise to {name!r}")
-        seen[name] = raw
-        out.append(name)
-    return out
+    names = column_names(spark, raw_names)
+    first: dict[str, str] = {}
+    for raw, name in zip(raw_names, names):
+        if name in first:
+            raise ValueError(f"headers {first[name]!r} and {raw!r} both standardise to {name!r}")
+        first[name] = raw
+    return names

@@ -2,17 +2,20 @@
 
 Landing layout: ``<root>/<year>/<workbook file>/<sheet>.csv`` - one delimited
 extract per sheet of each yearly workbook (title on line 1, header on line 2).
+A sheet's table is its standardised workbook and sheet name.
 
-``derive_schemas``  profile every extract of the requested years and write the
-                    metadata artefacts: per-year profile, final schemas, table
-                    years, the workbook/sheet -> table map and the DDL text (S10).
+``derive_schemas``  profile every extract of the requested years, whatever sheets
+                    there are, and write the metadata artefacts: per-year profile,
+                    final schemas, table years, the workbook/sheet -> table map
+                    and the DDL text (S10).
 ``load_raw``        load every extract into its raw table, replacing only the
-                    loaded years (S7), with the declared schemas of the registry.
+                    loaded years (S7), with the declared schemas of the registry
+                    or of a schema job's artefact, and write the load report.
 
 Usage with spark-submit::
 
     spark-submit voltframe/jobs.py derive --landing L --out M --start_year 2019 --end_year 2024
-    spark-submit voltframe/jobs.py load --landing L --warehouse W --start_year 2019 --end_year 2024
+    spark-submit voltframe/jobs.py load --landing L --warehouse W --start_year 2019 --end_year 2024 [--schemas M]
 """
 
 from __future__ import annotations
@@ -22,60 +25,71 @@ from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from voltframe.functions.names import standardize_name_col
+from voltframe import registry
 from voltframe.plans import profile as P
-from voltframe.sources.delimited import read_extracts
-from voltframe.sources.ingest import conform
-from voltframe.sources.releases import (SURVEY_TABLE_MAP, check_year_range, is_data_file,
-                                        routing_frame)
+from voltframe.plans.views import register_warehouse
+from voltframe.sources.delimited import (data_rows, group_by_header, load_report, read_group, rejected_rows,
+                                         standard_headers, union_balanced)
+from voltframe.sources.ingest import conform, reject_counts
+from voltframe.sources.releases import check_year_range, is_data_file, table_names
 from voltframe.sources.sinks import write_metadata, write_tables
 
 
-def sheet_listing(spark: SparkSession, landing: str, start_year: int, end_year: int,
-                  table_map=SURVEY_TABLE_MAP) -> DataFrame:
-    """S1 + S2 + S4 over the landing folder: one row per sheet extract with its table."""
+def sheet_listing(spark: SparkSession, landing: str, start_year: int, end_year: int) -> DataFrame:
+    """S1 + S2 + S4 over the landing folder: one row per sheet extract with its table.
+
+    The requested years are chosen by path before anything is listed below them.
+    """
     check_year_range(start_year, end_year)
+    years = ",".join(str(y) for y in range(start_year, end_year + 1))
     parts = F.split(F.col("path"), "/")
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.csv").load(landing).select("path"))
-    listing = files.select(
-        "path",
-        F.element_at(parts, -3).try_cast("int").alias("file_year"),
-        F.element_at(parts, -2).alias("workbook"),
-        F.regexp_replace(F.element_at(parts, -1), r"\.csv$", "").alias("sheet"))
-    listing = listing.where(F.col("file_year").between(start_year, end_year)
-                            & is_data_file("workbook"))
-    routed = listing.withColumn("topic", standardize_name_col("workbook")).join(
-        F.broadcast(routing_frame(spark, table_map)), ["topic", "sheet"], "left")
-    return routed
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("ignoreMissingFiles", "true")
+             .load(f"{landing.rstrip('/')}/{{{years}}}/*").select("path"))
+    sheet = F.regexp_replace(F.element_at(parts, -1), r"\.csv$", "")
+    listing = files.select("path", F.element_at(parts, -3).try_cast("int").alias("file_year"),
+                           F.url_decode(F.element_at(parts, -2)).alias("workbook"), F.url_decode(sheet).alias("sheet"))
+    return table_names(listing.where(is_data_file("workbook")))
 
 
 def _files_by_table(listing: DataFrame) -> dict[str, list[str]]:
-    """The listing is file metadata (a row per sheet and year), small by construction."""
+    """The listing is file metadata: a row per sheet and year."""
     by_table: dict[str, list[str]] = defaultdict(list)
-    for r in listing.where(F.col("table_name").isNotNull()).select("table_name", "path").collect():
+    for r in listing.select("table_name", "path").collect():
         by_table[r.table_name].append(r.path)
-    return {t: sorted(p) for t, p in by_table.items()}
+    return {t: sorted(p) for t, p in sorted(by_table.items())}
+
+
+def _groups(spark: SparkSession, by_table: dict[str, list[str]]) -> list[tuple[str, DataFrame]]:
+    """(table, DataFrame) per table and distinct header; all headers come from one scan."""
+    table_of = {p: t for t, paths in by_table.items() for p in paths}
+    headers = group_by_header(spark, [p for paths in by_table.values() for p in paths])
+    names = standard_headers(spark, headers)
+    out = []
+    for header, paths in headers.items():
+        own: dict[str, list[str]] = defaultdict(list)
+        for p in paths:
+            own[table_of[p]].append(p)
+        out += [(table, read_group(spark, names[header], files)) for table, files in sorted(own.items())]
+    return out
 
 
 def derive_schemas(spark: SparkSession, landing: str, out: str, start_year: int, end_year: int,
                    widen_numeric: bool = False, strict_yn: bool = False) -> dict[str, DataFrame]:
     """Profile all releases (P1-P9), consolidate (P5), report years (P6/P7), render DDL."""
     listing = sheet_listing(spark, landing, start_year, end_year)
-    groups = []
-    for table, paths in _files_by_table(listing).items():
-        for group in read_extracts(spark, paths):
-            cols = [c for c in group.columns if c not in ("file_year", "file_date")]
-            groups.append((table, group.select("file_year", *cols)))
-    profile = P.profile_table(P.long_cells(groups), strict_yn=strict_yn)
+    groups = [(table, data_rows(g).drop("file_date")) for table, g in _groups(spark, _files_by_table(listing))]
+    long = P.long_cells(groups)
+    profile = P.profile_table(long, strict_yn=strict_yn)
     # Write the per-year profile once; every other artefact is derived from that
     # copy instead of re-profiling the extracts.
     profile_path = f"{out.rstrip('/')}/year_schemas"
     write_metadata(profile, profile_path)
     profile = spark.read.schema(profile.schema).json(profile_path)
-    consolidated = P.consolidate_types(profile, widen_numeric=widen_numeric)
-    present = P.years_present(profile)
+    consolidated = P.with_empty_columns(P.consolidate_types(profile, widen_numeric=widen_numeric), long)
+    # A table has a release where it has a file, with or without rows.
+    present = P.years_of(listing)
     artefacts = {
         "table_schemas": P.declared_schema(consolidated),
         "table_years": present,
@@ -93,20 +107,53 @@ def derive_schemas(spark: SparkSession, landing: str, out: str, start_year: int,
     return artefacts
 
 
+LINEAGE = [T.StructField("file_year", T.IntegerType()), T.StructField("file_date", T.TimestampNTZType()),
+           T.StructField("upload_timestamp", T.TimestampNTZType())]
+
+
+def derived_schemas(spark: SparkSession, metadata: str) -> dict[str, T.StructType]:
+    """The schemas that ``derive_schemas`` wrote below ``metadata`` (a row per column)."""
+    kinds = {"BIGINT": T.LongType(), "BOOLEAN": T.BooleanType(), "NUMERIC(18, 6)": T.DecimalType(18, 6)}
+    rows = spark.read.json(f"{metadata.rstrip('/')}/table_schemas").collect()
+    fields: dict[str, list[T.StructField]] = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.table_name, r.first_year or 0, r.first_position)):
+        fields[r.table_name].append(T.StructField(r.column_name, kinds.get(r.sql_type, T.StringType())))
+    return {t: T.StructType([*own, *LINEAGE]) for t, own in fields.items()}
+
+
 def load_raw(spark: SparkSession, landing: str, warehouse: str, start_year: int, end_year: int,
-             max_parallel: int = 4) -> list[str]:
-    """Load every routed extract into ``warehouse/<schema.table>`` (replace loaded years)."""
-    listing = sheet_listing(spark, landing, start_year, end_year)
-    tables = {}
-    for table, paths in _files_by_table(listing).items():
-        upload = F.current_timestamp().cast("timestamp_ntz")
-        groups = [conform(g.withColumn("upload_timestamp", upload), table)
-                  for g in read_extracts(spark, paths)]
-        df = groups[0]
-        for g in groups[1:]:
-            df = df.unionByName(g)
-        tables[table] = df
+             max_parallel: int = 4, schemas: str | None = None, views: bool = False) -> list[str]:
+    """Load every extract into ``warehouse/<schema.table>`` (replace loaded years) and write the report.
+
+    Declared schemas come from the registry, or from the schema job's folder
+    ``schemas``.  A sheet whose table nobody declares is an error that names it.
+    Below ``warehouse/_load``: ``report`` (rows read, loaded and rejected by path),
+    ``rejects`` (the rejected records) and ``casts`` (texts that failed their cast).
+    ``views`` registers the ten views again over what now lies in the warehouse.
+    """
+    by_table = _files_by_table(sheet_listing(spark, landing, start_year, end_year))
+    declared = derived_schemas(spark, schemas) if schemas else {t: registry.schema(t) for t in registry.table_names()}
+    unknown = sorted(set(by_table) - set(declared))
+    if unknown:
+        raise ValueError(f"no declared schema for {', '.join(unknown)}; derive schemas first and pass them")
+    groups = _groups(spark, by_table)
+    upload = F.current_timestamp().cast("timestamp_ntz")
+    parts: dict[str, list[DataFrame]] = defaultdict(list)
+    casts = []
+    for table, g in groups:
+        rows = data_rows(g)
+        parts[table].append(conform(rows.withColumn("upload_timestamp", upload), table, declared[table]))
+        casts.append(reject_counts(rows, table, declared[table], by_year=True).withColumn("table_name", F.lit(table)))
+    tables = {table: union_balanced(own) for table, own in parts.items()}
     write_tables(tables, warehouse, max_parallel=max_parallel)
+    if groups:
+        folder = f"{warehouse.rstrip('/')}/_load"
+        write_metadata(load_report([g for _, g in groups]), f"{folder}/report")
+        write_metadata(union_balanced([rejected_rows(g) for _, g in groups]), f"{folder}/rejects")
+        write_metadata(union_balanced(casts).groupBy("table_name", "file_year", "column")
+                       .agg(F.sum("rejected").alias("rejected")).where("rejected > 0"), f"{folder}/casts")
+    if views:
+        register_warehouse(spark, warehouse)
     return sorted(tables)
 
 
@@ -124,14 +171,14 @@ def main(argv: list[str] | None = None) -> None:
             p.add_argument("--strict_yn", action="store_true")
         else:
             p.add_argument("--warehouse", required=True)
+            p.add_argument("--schemas")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"voltframe-{args.job}").getOrCreate()
     if args.job == "derive":
         derive_schemas(spark, args.landing, args.out, args.start_year, args.end_year,
                        args.widen_numeric, args.strict_yn)
     else:
-        load_raw(spark, args.landing, args.warehouse, args.start_year, args.end_year)
-
+        load_raw(spark, args.landing, args.warehouse, args.start_year, args.end_year, schemas=args.schemas)
 
 
 if __name__ == "__main__":

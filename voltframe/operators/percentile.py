@@ -5,19 +5,18 @@ group (one release year holding a third of the rows) lands whole on one
 executor.  Here the work is split:
 
 1. distinct values with their multiplicity per group (map-side combine, so a
-   hot *value* collapses to one row), checkpointed once to the shared folder so
-   every later pass reads the same copy;
-2. per group: row count, target ranks ``floor/ceil((n - 1) * p)``, the value
-   range [lo, hi] that must contain them, and the distinct values inside it;
-3. while some group still has more than ``max_values_per_task`` distinct
-   values in its range, a histogram of ``buckets`` equal-width buckets per
-   group (bounded size) locates the buckets holding the target ranks and the
-   range shrinks to them (bucket edges are taken from data values, so no
-   rounding can drop a value).  Each pass is one distributed aggregation; the
-   per-group state is a small table checkpointed to the shared folder;
-4. the remaining candidates (at most ``max_values_per_task`` distinct values
-   per group) are ranked with a window and the two neighbours interpolated
-   exactly as Spark's ``percentile`` does.
+   hot *value* collapses to one row);
+2. per group: row count, target ranks ``floor/ceil((n - 1) * p)`` and the value
+   range [lo, hi] that must contain them;
+3. ``PASSES`` times a histogram of ``buckets`` equal-width buckets per group
+   (bounded size) locates the buckets holding the target ranks and the range
+   shrinks to them (bucket edges are taken from data values, so no rounding can
+   drop a value).  A pass is one distributed aggregation;
+4. the candidates left are ranked with a window, whose sort spills, and the two
+   neighbours interpolated exactly as Spark's ``percentile`` does.
+
+Building the plan runs no job and keeps nothing, so a view over it answers from
+the data of the moment.
 """
 
 from __future__ import annotations
@@ -28,19 +27,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of the per-group state in the shared checkpoint folder, when one is set."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        return df
-    spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+#: Histogram passes; each divides a group's range of candidate values by the buckets.
+PASSES = 2
 
 
 def exact_percentile(df: DataFrame, keys: Sequence[str], value: Column | str, p: float,
-                     name: str, max_values_per_task: int = 1_000_000, buckets: int = 1024,
-                     max_passes: int = 64) -> DataFrame:
+                     name: str, buckets: int = 1024, passes: int = PASSES) -> DataFrame:
     """``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)`` per ``keys`` as DOUBLE."""
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must lie in [0, 1]")
@@ -48,9 +40,6 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: Column | str, p:
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     distinct_values = (df.select(*keys, v.alias("_v"))
                        .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_m")))
-    # Materialise the (value, count) pairs once: the pass decisions and the final
-    # ranking then read one consistent copy instead of recomputing the input.
-    distinct_values = _checkpointed(distinct_values)
     present = F.col("_v").isNotNull()
     stats = distinct_values.groupBy(*keys).agg(
         F.sum(F.when(present, F.col("_m"))).alias("_n"),
@@ -62,12 +51,8 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: Column | str, p:
                          F.lit(0).cast("bigint").alias("_below"), "_d")
     values = distinct_values.where(present)
 
-    for _ in range(max_passes):
-        wide = F.when(F.col("_lo") < F.col("_hi"), F.col("_d"))
-        worst = state.agg(F.max(wide)).first()[0]
-        if worst is None or worst <= max_values_per_task:
-            break
-        state = _checkpointed(_narrow(values, state, keys, buckets))
+    for _ in range(passes):
+        state = _narrow(values, state, keys, buckets)
 
     cand = (values.join(state, keys)
             .where(F.col("_v").between(F.col("_lo"), F.col("_hi"))))

@@ -10,7 +10,7 @@ from voltframe.functions.casting import yes_no
 from voltframe.functions.names import column_name_col, standardize_name_col
 from voltframe.plans import profile as P
 from voltframe.sources.ingest import add_lineage, conform, reject_counts, rename_columns
-from voltframe.sources.releases import select_years
+from voltframe.sources.releases import is_data_file, select_years, table_names
 from voltframe.sources.sinks import replace_years
 
 
@@ -33,13 +33,38 @@ def name_standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
     file_name = F.concat(F.lit("3_"), (F.col("p_size") % 9).cast("string"), F.lit("_"),
                          F.col("p_type"), F.lit("_Y"), (1995 + F.col("p_partkey") % 7).cast("string"),
                          F.lit(".xlsx"))
+    # A no-break space and Arabic-Indic digits, which count as white space and as digits.
+    unicode_name = F.concat(F.lit("\u0663__"), F.col("p_type"), F.lit("\u00a0"), F.col("p_brand"), F.lit("\u2003ID"))
     return part.select(
         "p_partkey",
+        standardize_name_col(unicode_name).alias("unicode_name"),
         standardize_name_col(header).alias("header_name"),
         column_name_col(long_header).alias("column_name"),
         standardize_name_col(file_name).alias("topic"))
 
 
+def _workbook():
+    k = F.col("p_partkey") % 5
+    return (F.when(k == 0, F.concat(F.lit("~$3_1_"), "p_type", F.lit("_Y2001.xlsx")))
+            .when(k == 1, F.lit("LayoutY2001.xlsx"))
+            .when(k == 2, F.concat(F.lit("3_1_"), "p_type", F.lit("_Y2001.xlsx")))
+            .when(k == 3, F.concat(F.lit("2___"), "p_brand", F.lit("_Y1999.xlsx")))
+            .otherwise(F.concat("p_name", F.lit(".txt"))))
+
+
+def file_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Data workbooks among file names; lock files, layouts and other files go."""
+    names = FX.read_driver(spark, sf_dir, "part").select("p_partkey", _workbook().alias("file_name"))
+    return names.where(is_data_file("file_name"))
+
+
+def table_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of each workbook and sheet, derived from their names."""
+    sheets = FX.read_driver(spark, sf_dir, "part").select(
+        "p_partkey", _workbook().alias("workbook"), F.concat("p_brand", F.lit(" & "), "p_name").alias("sheet"))
+    return table_names(sheets).select("p_partkey", "table_name")
+
+
 def lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """file_year from the release, file_date from the scan metadata, upload time now."""
     orders = FX.read_driver(spark, sf_dir, "orders")
@@ -100,7 +125,8 @@ def replace_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     existing = table.where(F.col("file_year") <= 1999)
     reissued = (table.where(F.col("file_year") >= 1998)
                 .withColumn("o_totalprice", F.col("o_totalprice") * 2))
-    return replace_years(existing, reissued, years=range(1998, 2002)).select(
+    # 2002 is requested and has no data: nothing of it comes in, nothing goes.
+    return replace_years(existing, reissued, years=range(1998, 2003)).select(
         "o_orderkey", "file_year", "o_totalprice")
 
 
@@ -159,6 +185,8 @@ INGEST_QUERIES = {
     "declared_cast": declared_cast,
     "declared_cast_rejects": declared_cast_rejects,
     "rename_columns": rename_columns_q,
+    "file_filter": file_filter,
+    "table_routing": table_routing,
     "year_range": year_range,
     "replace_year": replace_year,
     "profile_table": profile_table_q,

@@ -17,11 +17,16 @@ from typing import Iterable, NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltframe.sources.delimited import union_balanced
+
 # Reader types and their SQL rendering.
 SQL_TYPES = {"Int64": "BIGINT", "String": "VARCHAR", "Float64": "NUMERIC(18, 6)",
              "Boolean": "BOOLEAN"}
 LINEAGE_DDL = ("file_year INT NOT NULL", "file_date TIMESTAMP NOT NULL",
                "upload_timestamp TIMESTAMP DEFAULT CURRENT_TIMESTAMP NOT NULL")
+# Texts that are numbers; a cast alone also takes '1D', '2F' and 'NaN', which are identifiers or words here.
+INTEGER = r"^\s*[+-]?[0-9]+\s*\z"
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z"
 PROFILE_KEYS = ("table_name", "file_year", "column_name")
 
 
@@ -80,10 +85,7 @@ def _q(name: str) -> str:
 
 def union_long(parts: Iterable[DataFrame]) -> DataFrame:
     parts = list(parts)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return union_balanced(parts)
 
 
 def profile_table(long: LongCells, strict_yn: bool = False) -> DataFrame:
@@ -92,7 +94,8 @@ def profile_table(long: LongCells, strict_yn: bool = False) -> DataFrame:
     distinct_count counts NULL as a value (P1); max_len is the longest text of a
     String column, NULL otherwise (P2); is_unique = distinct_count = rows (P3,
     the intended rule); col_type is Boolean for exactly two distinct values,
-    else Int64 / Float64 when every non-NULL value casts, else String (P4).
+    else Int64 / Float64 when every non-NULL value is such a number, else String
+    (P4), and NULL for a year without any value.
     ``strict_yn`` (Q8) only calls a column Boolean when its values are Y, N or NULL,
     so a ``{NULL, 'text'}`` column is not turned into an all-NULL boolean.
     """
@@ -102,8 +105,8 @@ def profile_table(long: LongCells, strict_yn: bool = False) -> DataFrame:
         F.sum("n").alias("non_null"),
         F.count(F.lit(1)).alias("distinct_values"),
         F.max(F.length(v)).alias("text_len"),
-        F.count_if(v.try_cast("bigint").isNull()).alias("not_int"),
-        F.count_if(v.try_cast("double").isNull()).alias("not_num"),
+        F.count_if(~v.rlike(INTEGER) | v.try_cast("bigint").isNull()).alias("not_int"),
+        F.count_if(~v.rlike(NUMBER)).alias("not_num"),
         F.count_if(~v.isin("Y", "N")).alias("not_yn"))
     group_rows = (per_value.where(F.col("cid") < 0)
                   .select("file_year", F.col("cid").alias("marker"), F.col("n").alias("rows")))
@@ -121,7 +124,9 @@ def profile_table(long: LongCells, strict_yn: bool = False) -> DataFrame:
     two_values = distinct == 2
     if strict_yn:
         two_values = two_values & (F.coalesce(F.col("not_yn"), F.lit(0)) == 0)
-    col_type = (F.when(two_values, F.lit("Boolean"))
+    # A year without any value says nothing about the type.
+    col_type = (F.when(F.coalesce(F.col("non_null"), F.lit(0)) == 0, F.lit(None).cast("string"))
+                .when(two_values, F.lit("Boolean"))
                 .when(not_int == 0, F.lit("Int64"))
                 .when(not_num == 0, F.lit("Float64"))
                 .otherwise(F.lit("String")))
@@ -157,8 +162,8 @@ def classify_type(long: DataFrame) -> DataFrame:
 def consolidate_types(profile: DataFrame, widen_numeric: bool = False) -> DataFrame:
     """P5: one type per (table, column) over all years.
 
-    One type in every year -> that type; otherwise String (Int64 + Float64 too,
-    Q17) unless ``widen_numeric`` makes that pair Float64.  Also keeps the
+    One type in every year that has values -> that type; otherwise, and without
+    any value, String (Int64 + Float64 too, Q17) unless ``widen_numeric`` makes that pair Float64.  Also keeps the
     first-seen order (earliest year, then position) for rendering.
     """
     types = F.array_sort(F.collect_set("col_type"))
@@ -183,6 +188,21 @@ def years_present(profile: DataFrame) -> DataFrame:
             .groupBy("table_name").agg(F.array_sort(F.collect_set("file_year")).alias("years")))
 
 
+def years_of(listing: DataFrame) -> DataFrame:
+    """P6 from the file listing: a table has a release where it has a file, even one without rows."""
+    return listing.groupBy("table_name").agg(F.array_sort(F.collect_set("file_year")).alias("years"))
+
+
+def with_empty_columns(consolidated: DataFrame, long: LongCells) -> DataFrame:
+    """Adds the columns that only extracts without rows have: VARCHAR, after all others."""
+    places = long.layout.groupBy("cid").agg(F.min("position").alias("first_position"))
+    known = consolidated.select("table_name", "column_name")
+    empty = (long.columns.join(known, ["table_name", "column_name"], "left_anti").join(places, "cid")
+             .select("table_name", "column_name", F.lit("String").alias("col_type"),
+                     F.lit(9999).alias("first_year"), "first_position", F.lit(False).alias("is_unique")))
+    return consolidated.unionByName(empty)
+
+
 def missing_years(present: DataFrame, start_year: int, end_year: int) -> DataFrame:
     """Requested years a table has no release for (tables with none missing are left out)."""
     wanted = F.sequence(F.lit(start_year), F.lit(end_year))
@@ -192,14 +212,22 @@ def missing_years(present: DataFrame, start_year: int, end_year: int) -> DataFra
 
 
 def render_schema(consolidated: DataFrame) -> DataFrame:
-    """``CREATE TABLE`` text per table, columns in first-seen order, lineage last."""
+    """``CREATE TABLE`` text per table, columns in first-seen order, lineage last.
+
+    The first Int64 column that is unique in every year is the PRIMARY KEY (Q9); a
+    table can have only one.
+    """
     sql_type = F.element_at(F.create_map(*[F.lit(x) for kv in SQL_TYPES.items() for x in kv]),
                             F.col("col_type"))
     col_ddl = F.concat_ws(" ", F.col("column_name"), sql_type)
     per_table = consolidated.groupBy("table_name").agg(
-        F.array_sort(F.collect_list(F.struct("first_year", "first_position", col_ddl.alias("ddl"))))
-        .alias("cols"))
-    body = F.concat(F.transform("cols", lambda c: c["ddl"]),
+        F.array_sort(F.collect_list(F.struct(
+            "first_year", "first_position", col_ddl.alias("ddl"),
+            (F.col("is_unique") & (F.col("col_type") == "Int64")).alias("is_key")))).alias("cols"))
+    key = F.array_position(F.transform("cols", lambda c: c["is_key"]), F.lit(True)) - 1
+    per_table = per_table.withColumn("key", key)
+    body = F.concat(F.transform("cols", lambda c, i: F.when(
+                        i == F.col("key"), F.concat(c["ddl"], F.lit(" PRIMARY KEY"))).otherwise(c["ddl"])),
                     F.array(*[F.lit(x) for x in LINEAGE_DDL]))
     ddl = F.concat(F.lit("CREATE TABLE "), F.col("table_name"), F.lit("(\n\t"),
                    F.array_join(body, ",\n\t"), F.lit("\n);"))

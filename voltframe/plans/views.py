@@ -365,7 +365,9 @@ VIEWS = {
 def register_views(spark: SparkSession, tables: Tables, prefix: str = "analysis_") -> list[str]:
     """Register the raw tables and the ten views as temporary views.
 
-    Tables become ``generator_operable`` etc.; views ``analysis_<name>``.
+    Tables become ``generator_operable`` etc.; views ``analysis_<name>``.  No job runs
+    and nothing is kept but plans.  A plan holds its tables' file list, so register
+    again after a load (:func:`register_warehouse`).
     """
     for name, df in tables.items():
         df.createOrReplaceTempView(name.replace(".", "_"))
@@ -374,3 +376,18 @@ def register_views(spark: SparkSession, tables: Tables, prefix: str = "analysis_
         fn(tables).createOrReplaceTempView(prefix + name)
         names.append(prefix + name)
     return names
+
+
+def register_warehouse(spark: SparkSession, warehouse: str) -> list[str]:
+    """S9 over the landed tables below ``warehouse``, with the files of the moment; the loader's last step."""
+    from voltframe.sources.catalog import read_tables
+
+    for name in SURVEY_TABLES:
+        spark.catalog.refreshByPath(f"{warehouse.rstrip('/')}/{name}")
+    return register_views(spark, read_tables(spark, warehouse, SURVEY_TABLES))
+
+
+#: The raw tables that the ten views read.
+SURVEY_TABLES = ("generator.operable", "generator.proposed", "generator.retired_and_canceled", "solar.operable",
+                 "solar.retired_and_canceled", "wind.operable", "wind.retired_and_canceled",
+                 "energystorage.operable", "energystorage.proposed", "energystorage.retired_and_canceled")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +54,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; only a session of one process may go without and gets a fresh local folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="voltframe-")
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 

@@ -1,82 +1,127 @@
 """S3: read yearly sheet extracts whose first line is a title and second the header.
 
-Layout: ``<root>/<year>/<file>.csv``.  Per file only the first two lines are
-fetched (``take(2)``, metadata); files sharing a header are read in one CSV
-scan with an all-text schema; title, repeated header and footnote rows are
-then dropped because their key column is not an integer.
+Layout: ``<root>/<year>/[<workbook>/]<file>.csv``; one file is one sheet, read whole
+(a sheet has at most a million rows).  A file is cut into records outside quotes,
+so line breaks inside a quoted field stay in it; quotes are doubled.  Record 1 is
+the title, record 2 the header, and every other record is data, whatever its key
+columns hold.  Records whose number of fields differs from the header's (footnotes,
+surplus fields) go to the rejects with their path; nothing is cut off or dropped.
 """
 
 from __future__ import annotations
 
 import csv
+import io
+import re
 from collections import defaultdict
 from typing import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltframe.functions.names import check_unique_names
+from voltframe.functions.names import column_names
 
 # Release year: the folder holding the extract, or the one above a workbook folder.
 YEAR_IN_PATH = r"/(\d{4})/(?:[^/]+/)?[^/]+$"
+#: A record: quoted stretches and anything but quotes and line ends.
+RECORD = r'(?:[^"\r\n]++|"[^"]*+"?)++'
+TITLE, HEADER, FIRST_DATA = 0, 1, 2
+#: Where the text of a record with a wrong number of fields is kept.
+REJECTED = "_rejected"
 
 
-def read_header(spark: SparkSession, path: str, header_line: int = 1) -> list[str]:
-    """The raw header of one extract (line ``header_line``, 0-based)."""
-    lines = spark.read.text(path).take(header_line + 1)
-    if len(lines) <= header_line:
-        raise ValueError(f"{path}: fewer than {header_line + 1} lines")
-    return next(csv.reader([lines[header_line].value]))
+def read_records(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """path, file_date, position and record of every non-empty line of the files."""
+    files = (spark.read.text(list(paths), wholetext=True)
+             .select("value", F.col("_metadata.file_path").alias("path"),
+                     F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("file_date")))
+    text = F.regexp_replace("value", "^﻿", "")
+    return files.select("path", "file_date", F.posexplode(F.regexp_extract_all(text, F.lit(RECORD), F.lit(0)))
+                        .alias("position", "record"))
 
 
-def group_by_header(spark: SparkSession, paths: Iterable[str],
-                    max_parallel: int = 8) -> dict[tuple[str, ...], list[str]]:
-    """Header of every file (a two-line read each, submitted concurrently), grouped."""
-    from concurrent.futures import ThreadPoolExecutor
+def read_headers(spark: SparkSession, paths: Iterable[str]) -> dict[str, tuple[str, ...]]:
+    """The raw header of every file, from one scan of all of them (a row a file)."""
+    heads = read_records(spark, paths).where(F.col("position") == HEADER).select("path", "record")
+    return {r["path"]: tuple(next(csv.reader(io.StringIO(r["record"], newline="")))) for r in heads.toLocalIterator()}
 
+
+def group_by_header(spark: SparkSession, paths: Iterable[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by header; a file without a header is an error."""
     paths = list(paths)
-    with ThreadPoolExecutor(max_workers=max_parallel) as pool:
-        headers = list(pool.map(lambda p: tuple(read_header(spark, p)), paths))
+    headers = read_headers(spark, paths)
+    short = len(paths) - len(headers)
+    if short:
+        raise ValueError(f"{short} of {len(paths)} extracts have no header line")
+    given = {_local(p): p for p in paths}  # the scan reports paths as URIs
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for header, p in zip(headers, paths):
-        groups[header].append(p)
+    for uri, header in sorted(headers.items()):
+        groups[header].append(given[unquote(_local(uri))])
     return dict(groups)
 
 
-def read_group(spark: SparkSession, header: tuple[str, ...], paths: list[str],
-               key_column: str) -> DataFrame:
-    """One scan for all files with this header; names standardised."""
-    names = check_unique_names(list(header))
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = (spark.read.schema(schema).option("header", "false").option("mode", "PERMISSIVE")
-          .csv(paths)
-          .withColumn("_path", F.col("_metadata.file_path"))
-          .withColumn("_mtime", F.col("_metadata.file_modification_time")))
-    data = df.where(F.col(key_column).try_cast("bigint").isNotNull())
-    year = F.regexp_extract("_path", YEAR_IN_PATH, 1).try_cast("int")
-    return (data.withColumn("file_year", year)
-            .withColumn("file_date", F.col("_mtime").cast("timestamp_ntz"))
-            .drop("_path", "_mtime"))
-
-
-def read_extracts(spark: SparkSession, paths: Iterable[str], key_column: str = "utility_id",
-                  fallback_key: str = "plant_code") -> list[DataFrame]:
-    """All header groups of one table, each a DataFrame of text columns + lineage.
-
-    The key column decides which lines are data; where a table's leading id is
-    not numeric (``fallback_key``) that one is used instead.
-    """
-    out = []
-    for header, files in group_by_header(spark, paths).items():
-        names = check_unique_names(list(header))
-        key = key_column if key_column in names else fallback_key
-        out.append(read_group(spark, header, files, key))
+def _local(path: str) -> str:
+    """A path without scheme and host."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
+
+
+def standard_headers(spark: SparkSession, headers: Iterable[tuple[str, ...]]) -> dict[tuple[str, ...], list[str]]:
+    """Standard names (T1/T2) of all headers in one query; colliding names raise (Q19)."""
+    headers = list(headers)
+    names = iter(column_names(spark, [h for header in headers for h in header]))
+    out = {}
+    for header in headers:
+        own = [next(names) for _ in header]
+        for k, name in enumerate(own):
+            if name in own[:k]:
+                raise ValueError(
+                    f"headers {header[own.index(name)]!r} and {header[k]!r} both standardise to {name!r}")
+        out[header] = own
     return out
 
 
-def dropped_rows(spark: SparkSession, paths: list[str]) -> int:
-    """Lines that are not data (title, header, footnotes) - for the load report."""
-    total = spark.read.text(paths).count()
-    kept = sum(df.count() for df in read_extracts(spark, paths))
-    return total - kept
+def read_group(spark: SparkSession, names: list[str], paths: list[str]) -> DataFrame:
+    """All data records of files with one header: text columns, lineage, ``path`` and ``_rejected``."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, REJECTED]])
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED,
+               "multiLine": "true", "maxCharsPerColumn": "-1"}
+    ddl = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
+    data = read_records(spark, paths).where(F.col("position") >= FIRST_DATA)
+    parsed = data.select("path", "file_date", F.from_csv("record", ddl, options).alias("r"))
+    year = F.regexp_extract("path", YEAR_IN_PATH, 1).try_cast("int")
+    return parsed.select("r.*", year.alias("file_year"), "file_date", "path")
+
+
+def read_extracts(spark: SparkSession, paths: Iterable[str]) -> list[DataFrame]:
+    """One DataFrame per distinct header: text columns, file_year, file_date, path and ``_rejected``."""
+    groups = group_by_header(spark, paths)
+    names = standard_headers(spark, groups)
+    return [read_group(spark, names[header], files) for header, files in groups.items()]
+
+
+def data_rows(group: DataFrame) -> DataFrame:
+    """The records with the right number of fields, without the reading columns."""
+    return group.where(F.col(REJECTED).isNull()).drop(REJECTED, "path")
+
+
+def rejected_rows(group: DataFrame) -> DataFrame:
+    """path, file_year and text of the records with a wrong number of fields."""
+    return group.where(F.col(REJECTED).isNotNull()).select("path", "file_year", F.col(REJECTED).alias("record"))
+
+
+def load_report(groups: Iterable[DataFrame]) -> DataFrame:
+    """path, file_year, rows_read, rows_loaded, rows_rejected: what was read is loaded or rejected."""
+    parts = [g.groupBy("path", "file_year").agg(
+        F.count(F.lit(1)).alias("rows_read"), F.count_if(F.col(REJECTED).isNull()).alias("rows_loaded"),
+        F.count_if(F.col(REJECTED).isNotNull()).alias("rows_rejected")) for g in groups]
+    return union_balanced(parts)
+
+
+def union_balanced(parts: list[DataFrame]) -> DataFrame:
+    """Unions pairs of pairs, so the plan's depth grows with the logarithm of the parts."""
+    while len(parts) > 1:
+        parts = [parts[k].unionByName(parts[k + 1]) if k + 1 < len(parts) else parts[k]
+                 for k in range(0, len(parts), 2)]
+    return parts[0]

@@ -18,7 +18,7 @@ from voltframe.functions.names import check_unique_names
 
 def rename_columns(df: DataFrame) -> DataFrame:
     """Standardised, 63-character names in one projection (Q19 checked)."""
-    return df.toDF(*check_unique_names(df.columns))
+    return df.toDF(*check_unique_names(df.sparkSession, df.columns))
 
 
 def add_lineage(df: DataFrame, file_year: int | Column | None = None,
@@ -84,17 +84,20 @@ def conform(df: DataFrame, table: str, schema: T.StructType | None = None) -> Da
     return df.selectExpr(*exprs)
 
 
-def reject_counts(df: DataFrame, table: str, schema: T.StructType | None = None) -> DataFrame:
-    """T7 report: per declared column, how many non-NULL raw values failed coercion."""
+def reject_counts(df: DataFrame, table: str, schema: T.StructType | None = None,
+                  by_year: bool = False) -> DataFrame:
+    """T7 report: per declared column (and ``file_year``), how many non-NULL raw values failed coercion."""
+    keys = ["file_year"] if by_year else []
     target = schema or registry.schema(table)
     present = {f.name: f.dataType for f in df.schema.fields}
     aggs = []
     for f in target.fields:
-        if f.name in present and present[f.name] != f.dataType:
+        if f.name in present and f.name not in keys and present[f.name] != f.dataType:
             raw = F.col(f.name)
             lost = raw.isNotNull() & coerce(raw, present[f.name], f.dataType).isNull()
             aggs.append(F.count_if(lost).alias(f.name))
     if not aggs:
-        return df.sparkSession.createDataFrame([], "column string, rejected bigint")
-    wide = df.agg(*aggs)
-    return wide.unpivot([], wide.columns, "column", "rejected")
+        years = "file_year int, " if by_year else ""
+        return df.sparkSession.createDataFrame([], f"{years}column string, rejected bigint")
+    wide = df.groupBy(*keys).agg(*aggs)
+    return wide.unpivot(keys, [c for c in wide.columns if c not in keys], "column", "rejected")

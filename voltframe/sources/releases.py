@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Mapping
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltframe.functions.names import standardize_name_col
@@ -37,42 +35,14 @@ def is_data_file(name: Column | str, suffix: str = DATA_SUFFIX) -> Column:
     return keep
 
 
-def list_release_files(spark: SparkSession, root: str, suffix: str = DATA_SUFFIX) -> DataFrame:
-    """S1/S2 over a landing folder ``root/<year>/<file>``: one row per data file.
-
-    Uses the binary-file source for the listing only (the ``content`` column is
-    never selected, so file bodies are not read).
-    """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-             .select("path", "modificationTime", "length"))
-    name = F.element_at(F.split("path", "/"), -1)
-    year = F.regexp_extract(F.element_at(F.split("path", "/"), -2), r"^(\d{4})$", 1)
-    return (files.select("path", name.alias("file_name"),
-                         year.try_cast("int").alias("file_year"),
-                         F.col("modificationTime").alias("file_date"), "length")
-            .where(is_data_file(F.col("file_name"), suffix) & F.col("file_year").isNotNull()))
-
-
-def routing_frame(spark: SparkSession, table_map: Mapping[str, Mapping[str, str]]) -> DataFrame:
-    """The ``{topic: {sheet: schema.table}}`` map as a small DataFrame."""
-    rows = [(topic, sheet, table) for topic, sheets in table_map.items()
-            for sheet, table in sheets.items()]
-    return spark.createDataFrame(rows, "topic string, sheet string, table_name string")
-
-
-def route_sheets(sheets: DataFrame, routing: DataFrame) -> DataFrame:
-    """Attach the target table to each (file, sheet) of a listing.
-
-    ``sheets`` has ``file_name`` and ``sheet``; the topic is the standardised
-    file name.  The routing map has one row per known sheet (tens of rows), so
-    it is broadcast; unknown sheets get a NULL table and can be reported.
-    """
-    topic = standardize_name_col("file_name")
-    return (sheets.withColumn("topic", topic)
-            .join(F.broadcast(routing), ["topic", "sheet"], "left"))
+def table_names(listing: DataFrame) -> DataFrame:
+    """``topic`` and ``table_name`` of each (workbook, sheet), derived from the names that are there."""
+    return listing.withColumn("topic", standardize_name_col("workbook")).withColumn(
+        "table_name", F.concat_ws(".", "topic", standardize_name_col("sheet")))
 
 
-# The workbook / sheet -> table map of the survey releases.
+# The workbook / sheet -> table map of the survey releases, as documentation
+# and test input; routing derives tables from the names.
 SURVEY_TABLE_MAP = {
     "solar": {"Operable": "solar.operable", "Retired and Canceled": "solar.retired_and_canceled"},
     "enviroequip": {

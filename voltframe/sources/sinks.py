@@ -8,29 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-MAX_BROADCAST_YEARS = 10_000
-
-
 def replace_years(existing: DataFrame, incoming: DataFrame,
                   years: Iterable[int] | None = None) -> DataFrame:
-    """S7 semantics: the loaded years of ``incoming`` replace those years of ``existing``.
-
-    With ``years`` (the loaded range, e.g. ``range(start, end + 1)``) the old
-    rows are dropped by a literal ``NOT IN`` filter: no join, no shuffle, and a
-    partition filter on a ``file_year``-partitioned table.  Without it the year
-    set is taken from ``incoming``; it is broadcast only after counting it (a
-    hot year then never funnels the existing table into one task), and beyond
-    the bound a plain anti join is left to AQE's skew handling.  Loading the
-    same release twice gives the table once (Q10).
+    """S7 semantics: the years that really come in replace those years of ``existing``.
+
+    ``years`` (the requested range) only bounds ``incoming``; a requested year without
+    data keeps its old rows, as the partitioned writer does, and rows without a year
+    are never replaced.  Loading the same release twice gives the table once (Q10).
+    The year list has one row a year, so the anti join is planned by its measured size.
     """
     if years is not None:
-        wanted = sorted(set(years))
-        return existing.where(~F.col("file_year").isin(wanted)).unionByName(incoming)
-    year_set = incoming.select("file_year").distinct()
-    n_years = year_set.count()
-    if n_years <= MAX_BROADCAST_YEARS:
-        year_set = F.broadcast(year_set)
-    kept = existing.join(year_set, "file_year", "left_anti")
+        incoming = incoming.where(F.col("file_year").isin(sorted(set(years))))
+    kept = existing.join(incoming.select("file_year").distinct(), "file_year", "left_anti")
     return kept.unionByName(incoming)
 
 
