@@ -43,11 +43,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import WORD_PATTERN, staged, text_of
+from voltframe.llm.common import WORD_PATTERN, broadcast_if_small, staged, text_of
 from voltframe.llm.components import components
 
 #: Sets of a block of a coarse group that one task compares.
-BLOCK_SETS = 1500
+BLOCK_SETS = 600
 
 
 @dataclass(frozen=True)
@@ -301,8 +301,9 @@ def _compared(docs: DataFrame, groups: DataFrame, threshold: Threshold, words: i
         "doc_id", "set_id", "n_shingles", "copies", "component", "class", "visits",
         F.least("block", "other").alias("block_a"), F.greatest("block", "other").alias("block_b"),
         (F.col("block") > F.col("other")).cast("int").alias("side")), "jaccard-blocks")
+    ids = staged(placed.select("doc_id").distinct(), "jaccard-wanted")
     wanted = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text") \
-                 .join(placed.select("doc_id").distinct(), "doc_id")
+                 .join(broadcast_if_small(ids), "doc_id")
     grams = with_shingles(wanted, words, "doc_id").groupBy("doc_id").agg(F.min("grams").alias("grams"))
     rows = placed.join(grams, "doc_id").drop("doc_id")
     return rows.groupBy("component", "class", "block_a", "block_b").applyInArrow(
@@ -348,5 +349,5 @@ def keep_one(docs: DataFrame, words: int = 5, threshold: Threshold = Threshold(4
     """The rows of ``docs`` whose doc_id is the smallest of its group, and those without doc_id."""
     dropped = staged(join(docs, words, threshold).where("doc_id <> component_id").select("doc_id").distinct(),
                      "jaccard-dropped")
-    return docs.join(dropped.withColumnRenamed("doc_id", "_dropped"),
+    return docs.join(broadcast_if_small(dropped.withColumnRenamed("doc_id", "_dropped")),
                      docs["doc_id"].cast("bigint") == F.col("_dropped"), "left_anti")
