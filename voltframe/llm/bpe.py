@@ -32,11 +32,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import text_of
+from voltframe.llm.common import slices, text_of
 
 VOCABULARY = "word_bpe_49k.json"
 #: Distinct chunks and words that a task keeps before it starts its cache anew.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 150_000
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 _SPLIT = re.compile(r"[ \t\n\r]+")
 #: Only these characters go the short way; everything else asks the library's own splitter.
@@ -291,7 +291,7 @@ def load_vocabulary(path: str) -> str:
 
 def _encode_batches(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     codec = Codec(load_vocabulary(path))
-    for batch in batches:
+    for batch in slices(batches, 1024):
         out: list[bytes] = []
         group: list[str] = []
         chars = 0
@@ -308,7 +308,7 @@ def _encode_batches(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
 
 def _decode_batches(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     codec = Codec(load_vocabulary(path))
-    for batch in batches:
+    for batch in slices(batches):
         decoded = [codec.decode(x.as_py() or b"") for x in batch.column(2)]
         yield pa.record_batch([batch.column(0), batch.column(1), batch.column(2), pa.array(decoded, pa.string())],
                               names=["doc_id", "n_tokens", "ids", "decoded"])

@@ -42,10 +42,27 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     Every call takes a new folder; the folder is the run's to clean up.
     """
     path = f"{shared_dir(df.sparkSession)}/llm-{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of identifiers up to which a written table is broadcast (some tens of MB).
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(ids: DataFrame) -> DataFrame:
+    """A written table of identifiers, to be broadcast if its counted rows are few; else Spark shuffles."""
+    few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return F.broadcast(ids) if few else ids
+
+
+def slices(batches, rows: int = 256):
+    """Record batches in slices of few rows, so that what a task makes of texts stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def text_of(column: str | Column) -> Column:
     """The text as a string, null as empty."""
     c = F.col(column) if isinstance(column, str) else column

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltframe.llm.common import staged, text_of
+from voltframe.llm.common import slices, staged, text_of
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("secret", "local_phone", "identity", "name")
@@ -245,7 +245,7 @@ _CANDIDATE = pa.struct([*_SPAN, pa.field("votes", pa.int32()), pa.field("feature
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         base, loose = [], []
         for value in batch.column(1):
             text = value.as_py()
@@ -306,7 +306,7 @@ def redacted(text: str, model: Classifier) -> str:
 
 
 def _redact(model: Classifier, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         at = batch.schema.get_field_index("text")
         clean = [None if v.as_py() is None else redacted(v.as_py(), model) for v in batch.column(at)]
         yield batch.set_column(at, batch.schema.field(at), pa.array(clean, batch.schema.field(at).type))

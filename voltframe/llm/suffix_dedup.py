@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import staged, text_of
+from voltframe.llm.common import slices, staged, text_of
 from voltframe.llm.induced import common_prefixes, suffix_array, words_at
 
 LENGTH = 50
@@ -44,6 +44,8 @@ BLOCK_BYTES = 4_000_000
 FILTER_BITS = 1 << 27
 #: Bytes of distinct segments that one shard is meant to sort.
 SHARD_BYTES = 2_000_000
+#: Bytes of segments that a task holds while it packs them by shard.
+PACK_BYTES = 64_000_000
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -216,22 +218,69 @@ def first_documents(parts: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
     return [first[e - s:e - LENGTH + 1] for s, e in zip(sizes, ends)]
 
 
+def _pack(shards: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments with their hash and document, packed by shard; of equal segments the earliest document's."""
+    import zstandard
+    packer = zstandard.ZstdCompressor(level=3)
+
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        content, doc, anchor = (table[k].to_numpy() for k in ("content", "doc_id", "anchor"))
+        order = np.lexsort((doc, content))
+        order = order[np.concatenate(([True], content[order][1:] != content[order][:-1]))]
+        shard = (_mixed(anchor[order].view(np.uint64)) % np.uint64(shards)).astype(np.int64)
+        order, shard = order[np.argsort(shard, kind="stable")], np.sort(shard)
+        segment = table["segment"].combine_chunks()
+        starts = np.frombuffer(segment.buffers()[1], np.int32)[segment.offset:segment.offset + len(segment) + 1]
+        raw = segment.buffers()[2].to_pybytes()
+        cuts = np.flatnonzero(shard[1:] != shard[:-1]) + 1
+        out = []
+        for x, y in zip(np.concatenate(([0], cuts)), np.append(cuts, len(order))):
+            own = order[x:y]
+            out.append((int(shard[x]), len(own), packer.compress(b"".join([
+                content[own].tobytes(), doc[own].tobytes(), (starts[own + 1] - starts[own]).astype(np.int64).tobytes(),
+                *(raw[p:q] for p, q in zip(starts[own].tolist(), starts[own + 1].tolist()))]))))
+        return pa.record_batch([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()),
+                                pa.array([r[2] for r in out], pa.binary())], names=["shard", "n", "packed"])
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= PACK_BYTES:
+            yield packed(held)
+            held, size = [], 0
+    if any(b.num_rows for b in held):
+        yield packed(held)
+
+
+def _unpack(n: int, data: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    import zstandard
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    content, doc, sizes = (np.frombuffer(raw, np.int64, n, 8 * n * k) for k in range(3))
+    ends = 24 * n + np.cumsum(sizes)
+    return content, doc, [raw[e - s:e] for e, s in zip(ends.tolist(), sizes.tolist())]
+
+
 def _classes(table: pa.Table) -> pa.Table:
     """(content, from_window, to_window, first_doc) of one shard's distinct segments."""
-    content, doc = table["content"].to_numpy(), table["doc_id"].to_numpy()
+    blobs = [_unpack(n.as_py(), p.as_py()) for n, p in zip(table["n"], table["packed"])]
+    content, doc = (np.concatenate([b[k] for b in blobs]) for k in (0, 1))
+    segments_ = [s for b in blobs for s in b[2]]
     order = np.lexsort((doc, content))
-    first = order[np.concatenate(([True], content[order][1:] != content[order][:-1]))]
-    parts = [table["segment"][int(k)].as_py() for k in first]
-    of = dict(zip(content[first].tolist(), parts))
-    for k in range(len(content)):
-        if table["segment"][k].as_py() != of[content[k]]:
-            raise RuntimeError("two different segments share a 64-bit hash")
+    new = np.concatenate(([True], content[order][1:] != content[order][:-1]))
+    first = order[new]
+    head = first[np.cumsum(new) - 1]
+    if any(segments_[k] != segments_[h] for k, h in zip(order, head)):
+        raise RuntimeError("two different segments share a 64-bit hash")
+    parts = [segments_[k] for k in first]
     out = []
     for c, windows in zip(content[first], first_documents(parts, doc[first])):
         cuts = np.flatnonzero(windows[1:] != windows[:-1]) + 1
         for x, y in zip(np.concatenate(([0], cuts)), np.append(cuts, len(windows))):
             out.append((c, x, y - 1, windows[x]))
-    return pa.table([pa.array(c, pa.int64()) for c in zip(*out)],
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64())
+    return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                     names=["content", "from_window", "to_window", "first_doc"])
 
 
@@ -246,7 +295,7 @@ def _merged(spans: list[dict]) -> list[tuple[int, int]]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         out = []
         for doc_id, text, spans in zip(*batch.columns):
             raw = text.as_py().encode()
@@ -283,9 +332,10 @@ def spans(docs: DataFrame) -> DataFrame:
     own = places.where("segment is not null")
     size = own.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    classes = staged(own.select("content", "doc_id", "segment", F.pmod("anchor", F.lit(shards)).alias("shard"))
-                     .groupBy("shard").applyInArrow(
-        _classes, "content bigint, from_window bigint, to_window bigint, first_doc bigint"), "suffix-classes")
+    packed = own.select("content", "doc_id", "anchor", "segment").mapInArrow(
+        lambda it: _pack(shards, it), "shard bigint, n bigint, packed binary")
+    classes = staged(packed.groupBy("shard").applyInArrow(
+        _classes, "content bigint, from_window int, to_window int, first_doc bigint"), "suffix-classes")
     # Both sides are written tables: a segment that very many documents have is a skewed join, which Spark splits.
     found = (places.select("content", "doc_id", "row", "at").join(classes, "content").where("first_doc < doc_id")
              .select("row", F.struct((F.col("at") + F.col("from_window")).cast("int").alias("a"),

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import text_of
+from voltframe.llm.common import slices, text_of
 from voltframe.llm.labelled import crc_remainder, sampled_labels
 
 DIMENSIONS = 1 << 31
@@ -197,7 +197,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _keep(machine: Machine, columns: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         slots, starts = _flat(batch.column(batch.num_columns - 1))
         kept = batch.filter(pa.array(machine.scores(slots, starts) < REJECT_AT))
         yield kept.select(columns)
