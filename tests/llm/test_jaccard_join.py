@@ -74,3 +74,18 @@ def test_components_of_chains(spark):
     edges = [(k, k + 1) for k in range(0, 40)] + [(k, k + 1) for k in range(100, 103)] + [(7, 7), (500, 500)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
     assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 104)}, 500: 500}
+
+
+def test_repeated_id_with_two_texts_and_a_set_without_id(spark, documents):
+    def text(name, first="", last=""):
+        words = [f"{name}{k}" for k in range(60)]
+        words[:3] = [w + first for w in words[:3]]
+        words[-3:] = [w + last for w in words[-3:]]
+        return " ".join(words)
+
+    rows = [(5, text("x")), (5, text("y")), (6, text("x", last="_")), (7, text("y", last="_")),
+            # Only the row without an id lies between 20 and 21.
+            (20, text("n")), (None, text("n", last="_")), (21, text("n", first="_", last="_"))]
+    got = jaccard_join.join(documents(rows)).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"], r["n_links"]) for r in got) == [
+        (0, 20, 2), (5, 5, 1), (5, 5, 1), (6, 5, 1), (7, 5, 1), (20, 20, 1), (21, 20, 1)]

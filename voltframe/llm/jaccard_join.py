@@ -126,6 +126,14 @@ def _identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), *columns], names=["doc_id", "n_shingles", "set_id", "proof"])
 
 
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row's set under its set_id."""
+    for batch in batches:
+        sets = list(_sets(batch.column(0)))
+        yield pa.record_batch([pa.array([_identity(s)[0] for s in sets], pa.int64()),
+                               pa.array(sets, pa.list_(pa.int64()))], names=["set_id", "grams"])
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every bit of the input moves every bit of the output."""
     x = x.astype(np.uint64)
@@ -301,11 +309,13 @@ def _compared(docs: DataFrame, groups: DataFrame, threshold: Threshold, words: i
         "doc_id", "set_id", "n_shingles", "copies", "component", "class", "visits",
         F.least("block", "other").alias("block_a"), F.greatest("block", "other").alias("block_b"),
         (F.col("block") > F.col("other")).cast("int").alias("side")), "jaccard-blocks")
-    ids = staged(placed.select("doc_id").distinct(), "jaccard-wanted")
-    wanted = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text") \
-                 .join(broadcast_if_small(ids), "doc_id")
-    grams = with_shingles(wanted, words, "doc_id").groupBy("doc_id").agg(F.min("grams").alias("grams"))
-    rows = placed.join(grams, "doc_id").drop("doc_id")
+    ids = staged(placed.select("doc_id").where("doc_id is not null").distinct(), "jaccard-wanted")
+    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    # An id does not tell which set a row has, and a set may have no id: the shingles are named again by their set.
+    wanted = own.join(broadcast_if_small(ids), "doc_id").unionAll(own.where("doc_id is null"))
+    grams = with_shingles(wanted, words).mapInArrow(_named, "set_id bigint, grams array<bigint>") \
+        .groupBy("set_id").agg(F.min("grams").alias("grams"))
+    rows = placed.drop("doc_id").join(grams, "set_id")
     return rows.groupBy("component", "class", "block_a", "block_b").applyInArrow(
         lambda t: _link(threshold, t), "u bigint, v bigint, n_links bigint")
 
@@ -325,7 +335,7 @@ def join(docs: DataFrame, words: int = 3, threshold: Threshold = Threshold(9, 10
     # One shuffle by signature; the order inside a task lets it stream, whatever a signature's rows.
     shared = signed.repartition("sign").sortWithinPartitions("sign", "set_id").mapInArrow(_share, "u bigint, v bigint")
     coarse = components(staged(shared.distinct(), "jaccard-shared"))
-    groups = staged(sets.where("doc_id is not null").select("set_id", "doc_id", "copies", "n_shingles")
+    groups = staged(sets.select("set_id", "doc_id", "copies", "n_shingles")
                     .join(coarse.withColumnRenamed("node", "set_id"), "set_id"), "jaccard-coarse")
     links = staged(_compared(docs, groups, threshold, words), "jaccard-links")
     grouped = components(links.select("u", "v"))
