@@ -29,8 +29,8 @@ from voltframe.llm.common import WORD_PATTERN, staged, text_of
 
 #: The standard error of a likeness s is sqrt(s (1 - s) / SAMPLES): 0.044 at 0.5 and 0.035 at 0.8.
 SAMPLES = 128
-#: Samples that one row draws.
-BLOCK = 32
+#: Samples that one row draws; the results do not depend on it.
+BLOCK = 8
 #: The logarithm of a rank lies within +-64 and is kept in steps of 2 ** -24.
 _RANK = "cast(floor((greatest(least({x}, 63.9D), -63.9D) + 64D) * 16777216D) as bigint)"
 
