@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltframe.llm import (bpe, fingerprints, jaccard_join, mixing, pii, quality_rules, rule_ensemble,
-                           suffix_dedup, toxicity, warc)
+from voltframe.llm import (bpe, fingerprints, jaccard_join, language_id, mixing, pii, quality_rules,
+                           rule_ensemble, suffix_dedup, toxicity, va_clusters, vector_codes, warc)
 from voltframe.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,21 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(read_table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code of each embedding: its parts' nearest entries in four learned codebooks."""
+    return vector_codes.encode(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document, learned from the documents that are not held out."""
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op13_va_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest of 16 learned centroids of each embedding."""
+    return va_clusters.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
@@ -80,8 +95,33 @@ QUERIES: dict[str, Query] = {
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_fingerprints": op10_fingerprints,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_language_id": op12_language_id,
+    "op13_va_clusters": op13_va_clusters,
 }
 
+_FINITE = """embedding IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+def _nearest_rounds(rounds: int) -> str:
+    """CTEs c1 .. c<rounds> (entries) and a0 .. a<rounds> (nearest entry and distance) from x(r, part, i, x) and c0(part, entry, i, x)."""
+    out = []
+    for k in range(rounds + 1):
+        out.append(f"""a{k} AS MATERIALIZED (
+  SELECT r, part, min({{'d': d, 'e': entry}}) AS best
+  FROM (SELECT x.r, x.part, c.entry, CAST(sum((x.x - c.x) * (x.x - c.x)) AS BIGINT) AS d
+        FROM x JOIN c{k} c ON c.part = x.part AND c.i = x.i GROUP BY x.r, x.part, c.entry)
+  GROUP BY r, part)""")
+        if k < rounds:
+            out.append(f"""c{k + 1} AS MATERIALIZED (
+  SELECT c.part, c.entry, c.i, coalesce(m.x, c.x) AS x
+  FROM c{k} c LEFT JOIN (
+    SELECT x.part, a.best.e AS entry, x.i, CAST(floor(CAST(sum(x.x) AS DOUBLE) / count(*)) AS BIGINT) AS x
+    FROM x JOIN a{k} a ON a.r = x.r AND a.part = x.part GROUP BY x.part, a.best.e, x.i) m
+  ON m.part = c.part AND m.entry = c.entry AND m.i = c.i)""")
+    return ",\n".join(out)
+
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": r"""
 WITH p AS (
@@ -125,5 +165,35 @@ rated AS (
 SELECT doc_id, size, source_size, target,
        CAST(size * copies AS BIGINT) AS taken, copies
 FROM (SELECT *, CAST(floor(rate) AS BIGINT) + CAST(draw < rate - floor(rate) AS BIGINT) AS copies FROM rated)
+""",
+    "op11_vector_codes": f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE {_FINITE}),
+x AS MATERIALIZED (
+  SELECT r, CAST(d // 16 AS INT) AS part, CAST(d % 16 AS INT) AS i, v[d + 1] AS x FROM kept, range(64) t(d)),
+c0 AS MATERIALIZED (SELECT part, CAST(r - 1 AS INT) AS entry, i, x FROM x WHERE r <= 256),
+{_nearest_rounds(4)},
+coded AS (
+  SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM a4 GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, i)) FROM c4) AS codebooks_sha256
+FROM kept JOIN coded USING (r)
+""",
+    "op13_va_clusters": f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR))) AS r, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE {_FINITE}),
+x AS MATERIALIZED (SELECT r, 0 AS part, CAST(d AS INT) AS i, v[d + 1] AS x FROM kept, range(64) t(d)),
+c0 AS MATERIALIZED (SELECT part, CAST(r - 1 AS INT) AS entry, i, x FROM x WHERE r <= 16),
+{_nearest_rounds(3)},
+hashes AS (SELECT entry, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c3 GROUP BY entry)
+SELECT vec_id, a3.best.e AS cluster, a3.best.d AS distance,
+       CAST(sum(a3.best.d) OVER (PARTITION BY a3.best.e) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a3.best.d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM kept JOIN a3 USING (r) JOIN hashes ON hashes.entry = a3.best.e
 """,
 }
