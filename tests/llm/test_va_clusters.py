@@ -73,7 +73,7 @@ def test_settled_rows_are_not_fetched(spark):
     assert got(frame(spark, rows)) == plain(rows)
     far = np.repeat(np.array([[0], [3000]]), 64, 1)
     grid = va.Grid(np.tile(np.arange(200, 3200, 200), (64, 1)), np.zeros(64, int), np.full(64, 3199))
-    cells = va.unpack(grid.pack(np.array([[10] * 64, [2990] * 64, [1500] * 64])))
+    cells = grid.pack(np.array([[10] * 64, [2990] * 64, [1500] * 64]))
     assert va.candidates(cells, grid.bounds(far)).tolist() == [[True, False], [False, True], [True, True]]
     seen = []
     va.moved(cells, grid, far, far, lambda rows: (seen.extend(rows), np.full((len(rows), 64), 1500))[1])
@@ -84,7 +84,7 @@ def test_bounds_hold_every_value(spark):
     rng = np.random.default_rng(1)
     rows, centres = rng.integers(-40, 40, (500, 64)), rng.integers(-40, 40, (16, 64))
     grid = va.Grid(np.tile(np.arange(-35, 40, 5), (64, 1)), rows.min(0), rows.max(0))
-    table, cells = grid.bounds(centres), va.unpack(grid.pack(rows))
+    table, cells = grid.bounds(centres), grid.pack(rows)
     bounds = sum(table[d][cells[:, d]] for d in range(64))
     exact = ((rows[:, None] - centres) ** 2).sum(2) - (rows ** 2).sum(1)[:, None]
     assert (bounds[:, :16] <= exact).all() and (exact <= bounds[:, 16:]).all()

@@ -1,7 +1,8 @@
 """Centroid clustering over a file of approximations (VA-file).
 
-Every component falls into one of ``CELLS`` cells of its dimension, and a vector's
-cells are written in four bits each beside it.  Cell bounds are taken from the
+Every component falls into one of ``CELLS`` cells of its dimension (six bits; with
+four, nearly all intervals of the test embeddings overlap), and a vector's cells are
+written beside it, a byte each.  Cell bounds are taken from the
 exact mean and spread of each dimension, with its smallest and largest value at
 the ends, so a cell is a closed range of integers.  For a centroid c and a cell, a
 lookup table has the least and the largest c * c - 2 * x * c of the cell's values
@@ -31,6 +32,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -44,10 +46,9 @@ WIDTH = 64
 CENTROIDS = 16
 ROUNDS = 3
 SCALE = 64
-CELLS = 16
-#: Where the standard normal distribution leaves 1/16, 2/16, ... 15/16 below it (fixed values).
-_CUTS = np.array([-1.534, -1.150, -0.887, -0.674, -0.489, -0.319, -0.157, 0.0,
-                  0.157, 0.319, 0.489, 0.674, 0.887, 1.150, 1.534])
+CELLS = 64
+#: Where the standard normal distribution leaves equal shares below it.
+_CUTS = np.array([NormalDist().inv_cdf(k / CELLS) for k in range(1, CELLS)])
 #: Rows whose bounds are summed side by side.
 SLICE = 2048
 
@@ -60,9 +61,9 @@ class Grid:
     most: np.ndarray
 
     def pack(self, rows: np.ndarray) -> np.ndarray:
-        """Cells, two to a byte."""
-        cells = np.stack([np.searchsorted(s, rows[:, d], side="right") for d, s in enumerate(self.starts)], 1)
-        return (cells[:, ::2] << 4 | cells[:, 1::2]).astype(np.uint8)
+        """Each component's cell."""
+        cells = [np.searchsorted(s, rows[:, d], side="right") for d, s in enumerate(self.starts)]
+        return np.stack(cells, 1).astype(np.uint8)
 
     def bounds(self, centroids: np.ndarray) -> np.ndarray:
         """dimension x cell x (lower bounds of all centroids, then upper bounds)."""
@@ -73,10 +74,6 @@ class Grid:
         return np.concatenate([np.minimum(at_low, at_high), np.maximum(at_low, at_high)], 2)
 
 
-def unpack(packed: np.ndarray) -> np.ndarray:
-    return np.stack([packed >> 4, packed & 15], 2).reshape(len(packed), -1)
-
-
 def candidates(cells: np.ndarray, table: np.ndarray) -> np.ndarray:
     """row x centroid: whether its distance interval reaches below the least upper bound."""
     total = np.zeros((len(cells), table.shape[2]), np.int64)
@@ -98,7 +95,7 @@ def closest(rows: np.ndarray, centroids: np.ndarray, may: np.ndarray) -> tuple[n
 
 def _cells_of(batch: pa.RecordBatch) -> np.ndarray:
     packed = batch.column("cells").cast(pa.binary())
-    return unpack(np.frombuffer(b"".join(packed.to_pylist()), np.uint8).reshape(batch.num_rows, -1))
+    return np.frombuffer(b"".join(packed.to_pylist()), np.uint8).reshape(batch.num_rows, -1)
 
 
 def _fetch(batch: pa.RecordBatch, rows: np.ndarray) -> np.ndarray:
