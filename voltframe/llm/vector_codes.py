@@ -50,11 +50,15 @@ def nearest(parts: np.ndarray, codebook: np.ndarray) -> tuple[np.ndarray, np.nda
     index, distance = np.zeros(n, np.int64), np.zeros(n, np.int64)
     if not n:
         return index, distance
+    # Integers of half the size are exact too where no distance can reach 2 ** 31.
+    reach = int(np.abs(parts).max(initial=0)) + int(np.abs(codebook).max(initial=0))
+    if width * reach * reach < 1 << 31:
+        parts, codebook = parts.astype(np.int32), codebook.astype(np.int32)
     differs = parts[1:] != parts[:-1]
     # Length of the prefix that a row shares with the row before it; equal rows share all.
     shared = np.append(-1, np.where(differs.any(1), differs.argmax(1) if width else 0, width))
     # Rows from, to, prefix length, and the distances of the prefix without its last dimension.
-    stack = [(0, n, 0, np.zeros(len(codebook), np.int64))]
+    stack = [(0, n, 0, np.zeros(len(codebook), codebook.dtype))]
     while stack:
         low, high, depth, so_far = stack.pop()
         if depth:
@@ -67,9 +71,11 @@ def nearest(parts: np.ndarray, codebook: np.ndarray) -> tuple[np.ndarray, np.nda
         at, sums = np.zeros(1, np.int64), so_far[None]
         for d in range(depth, width):
             starts = np.flatnonzero(np.append(True, shared[low + 1:high] <= d))
-            parent = np.searchsorted(at, starts, side="right") - 1
-            sums = sums[parent] + (parts[low + starts, d][:, None] - codebook[:, d]) ** 2
-            at = starts
+            step = parts[low + starts, d][:, None] - codebook[:, d]
+            step *= step
+            # Where no prefix splits any more, the vectors are carried on in place.
+            step += sums if len(starts) == len(at) else sums[np.searchsorted(at, starts, side="right") - 1]
+            at, sums = starts, step
         best = sums.argmin(1)
         times = np.diff(np.append(at, high - low))
         index[low:high] = np.repeat(best, times)
