@@ -400,6 +400,20 @@ SELECT state, fuel_type, CAST(cap AS DOUBLE) AS capacity_mw,
 FROM per_fuel
 """)
 
+OP_SQL["change_along_state"] = with_fixture("""
+SELECT state, plant_code, generator_id, file_year, CAST(nameplate_capacity_mw AS DOUBLE) AS nameplate_capacity_mw,
+       CAST(nameplate_capacity_mw - lag(nameplate_capacity_mw) OVER (
+         PARTITION BY state ORDER BY file_year, plant_code, generator_id) AS DOUBLE) AS change_mw
+FROM generator_operable
+""")
+
+OP_SQL["share_of_state_year"] = with_fixture(f"""
+SELECT state, plant_code, generator_id, file_year, CAST(nameplate_capacity_mw AS DOUBLE) AS nameplate_capacity_mw,
+       {pct('nameplate_capacity_mw', 'sum(nameplate_capacity_mw) OVER (PARTITION BY state, file_year)')}
+         AS pct_of_state_capacity
+FROM generator_operable
+""")
+
 OP_SQL["project_alias"] = with_fixture("""
 SELECT utility_id, plant_code AS plant, plant_name AS name, file_year,
        'Solar' AS fuel_type, CAST(0 AS DOUBLE) AS zero_mw

@@ -28,25 +28,26 @@ def left_join_chain(base: DataFrame, others: Sequence[DataFrame], keys: Sequence
 
 
 def full_outer_coalesced(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """``f1 FULL JOIN f2 ON keys FULL JOIN f3 ON COALESCE(f1.k, f2.k) = f3.k``.
+    """``f1 FULL JOIN f2 ON keys FULL JOIN f3 ON COALESCE(f1.k, f2.k) = f3.k ...``.
 
-    Key columns of the result are the coalesce over all frames.  Catalyst
-    extracts the coalesced expressions as equi-join keys, so each step is a
-    sort-merge (or shuffled hash) join, never a nested loop.
+    Every frame is unique on its keys (an aggregate on them), so the joins are one
+    aggregation over the tagged union of the frames: a key's group has at most a row
+    of each frame.  One exchange for any number of frames, where the chain of joins
+    moves everything again for each coalesced key.  A NULL in a key matches nothing:
+    such rows stay apart by frame and row.
     """
-    renamed = []
-    for i, df in enumerate(frames):
-        renamed.append(df.select(*[F.col(k).alias(f"_k{i}_{k}") for k in keys],
-                                 *[c for c in df.columns if c not in keys]))
-    acc = renamed[0]
-    key_exprs = {k: F.col(f"_k0_{k}") for k in keys}
-    for i, df in enumerate(renamed[1:], start=1):
-        cond = reduce(lambda a, b: a & b, [key_exprs[k] == F.col(f"_k{i}_{k}") for k in keys])
-        acc = acc.join(df, cond, "full_outer")
-        key_exprs = {k: F.coalesce(key_exprs[k], F.col(f"_k{i}_{k}")) for k in keys}
-    out = acc.select(*[key_exprs[k].alias(k) for k in keys],
-                     *[c for c in acc.columns if not c.startswith("_k")])
-    return out
+    values = [c for df in frames for c in df.columns if c not in keys]
+    if len(set(values)) < len(values):
+        raise ValueError("frames must not share names of value columns")
+    types = {f.name: f.dataType for df in frames for f in df.schema.fields}
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    tagged = [df.select(*keys, F.when(any_null, F.struct(F.lit(i).alias("frame"), F.monotonically_increasing_id()
+                                                         .alias("row"))).alias("_apart"),
+                        *[(F.col(c) if c in df.columns else F.lit(None).cast(types[c])).alias(c) for c in values])
+              for i, df in enumerate(frames)]
+    merged = reduce(DataFrame.unionByName, tagged).groupBy(*keys, "_apart").agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in values])
+    return merged.drop("_apart")
 
 
 def with_scalar(df: DataFrame, name: str, one_row: DataFrame) -> DataFrame:

@@ -1,100 +1,80 @@
-"""Exact PERCENTILE_CONT per group without holding a group in one task.
+"""Exact PERCENTILE_CONT per group, guided by a mergeable quantile summary.
 
 ``F.percentile`` merges a value -> count map per group in one task, so a hot
 group (one release year holding a third of the rows) lands whole on one
-executor.  Here the work is split:
+executor.  Here the rows are read twice:
 
-1. distinct values with their multiplicity per group (map-side combine, so a
-   hot *value* collapses to one row);
-2. per group: row count, target ranks ``floor/ceil((n - 1) * p)`` and the value
-   range [lo, hi] that must contain them;
-3. ``PASSES`` times a histogram of ``buckets`` equal-width buckets per group
-   (bounded size) locates the buckets holding the target ranks and the range
-   shrinks to them (bucket edges are taken from data values, so no rounding can
-   drop a value).  A pass is one distributed aggregation;
-4. the candidates left are ranked with a window, whose sort spills, and the two
-   neighbours interpolated exactly as Spark's ``percentile`` does.
+1. a partial aggregation gives each group's count and a quantile summary's
+   values a little below and above the wanted rank.  The summary's rank error is
+   at most ``1 / accuracy`` of the group whatever its distribution, and the
+   bounds are taken ``MARGIN`` times as far out, so the wanted rows lie between;
+2. equal values of a group become one row with a count (map-side combine), values
+   below the band one count, values above it are dropped.  What is left, the
+   band, is ranked with a window: at most ``accuracy`` distinct values of a group,
+   or ``2 * (MARGIN + 1) / accuracy`` of its rows, with any distribution.
 
-Building the plan runs no job and keeps nothing, so a view over it answers from
-the data of the moment.
+The two neighbours are interpolated exactly as Spark's ``percentile`` does.  Counts
+decide, so a summary that broke its promise would raise, never mislead.  Building
+the plan runs no job and keeps nothing, so a view over it answers from the data of
+the moment.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: The bounds lie this many summary errors away from the wanted rank.
+MARGIN = 4
 
-#: Histogram passes; each divides a group's range of candidate values by the buckets.
-PASSES = 2
 
+def percentile_band(df: DataFrame, keys: Sequence[str], value: Column | str, p: float,
+                    accuracy: int = 10_000) -> DataFrame:
+    """Per group: ``_n`` values, and rows of (``_v``, ``_m`` times) in the band; NULL ``_v`` counts what is below.
 
-def exact_percentile(df: DataFrame, keys: Sequence[str], value: Column | str, p: float,
-                     name: str, buckets: int = 1024, passes: int = PASSES) -> DataFrame:
-    """``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)`` per ``keys`` as DOUBLE."""
+    A group without values has one row with NULL ``_v`` and ``_m`` 0.
+    """
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must lie in [0, 1]")
     keys = list(keys)
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    distinct_values = (df.select(*keys, v.alias("_v"))
-                       .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_m")))
-    present = F.col("_v").isNotNull()
-    stats = distinct_values.groupBy(*keys).agg(
-        F.sum(F.when(present, F.col("_m"))).alias("_n"),
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
-        F.count("_v").alias("_d"))
-    pos = (F.col("_n") - 1) * F.lit(p)
-    state = stats.select(*keys, pos.alias("_pos"), F.floor(pos).alias("_r0"),
-                         F.ceil(pos).alias("_r1"), "_lo", "_hi",
-                         F.lit(0).cast("bigint").alias("_below"), "_d")
-    values = distinct_values.where(present)
+    rows = df.select(*keys, v.alias("_v"))
+    margin = MARGIN / accuracy
+    bounds = F.percentile_approx("_v", [max(0.0, p - margin), min(1.0, p + margin)], accuracy)
+    # A group of at most ``accuracy`` values is its own band: bounds by share could miss its few ranks.
+    state = rows.groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys]).agg(
+        F.count("_v").alias("_n"), F.when(F.count("_v") > accuracy, bounds).alias("_b"))
+    values = rows.groupBy(*keys, "_v").agg(F.count("_v").alias("_m"))
+    same_group = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys], F.lit(True))
+    below = F.col("_b").isNotNull() & (F.col("_v") < F.col("_b")[0])
+    above = F.coalesce(F.col("_v") > F.col("_b")[1], F.lit(False))
+    return (values.join(state, same_group).where(~above)
+            .groupBy(*keys, "_n", F.when(~below, F.col("_v")).alias("_v")).agg(F.sum("_m").alias("_m")))
 
-    for _ in range(passes):
-        state = _narrow(values, state, keys, buckets)
 
-    cand = (values.join(state, keys)
-            .where(F.col("_v").between(F.col("_lo"), F.col("_hi"))))
-    w = Window.partitionBy(*keys).orderBy("_v")
-    ranked = cand.withColumn("_end", F.col("_below") + F.sum("_m").over(w))
-    start = F.col("_end") - F.col("_m")
-    holds = lambda r: (start <= F.col(r)) & (F.col(r) < F.col("_end"))
-    picked = ranked.groupBy(*keys).agg(F.min(F.when(holds("_r0"), F.col("_v"))).alias("_v0"),
-                                       F.min(F.when(holds("_r1"), F.col("_v"))).alias("_v1"))
-    out = state.join(picked, keys, "left")
-    lower, higher, position = F.col("_r0"), F.col("_r1"), F.col("_pos")
-    interp = ((higher - position) * F.col("_v0") + (position - lower) * F.col("_v1"))
-    result = (F.when(F.col("_pos").isNull(), F.lit(None).cast("double"))
-              .when((lower == higher) | (F.col("_v0") == F.col("_v1")), F.col("_v0"))
-              .otherwise(interp))
-    return out.select(*keys, result.alias(name))
+def exact_percentile(df: DataFrame, keys: Sequence[str], value: Column | str, p: float,
+                     name: str, accuracy: int = 10_000) -> DataFrame:
+    """``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)`` per ``keys`` as DOUBLE."""
+    keys = list(keys)
+    band = percentile_band(df, keys, value, p, accuracy)
+    position = (F.col("_n") - 1) * F.lit(p)
+    end = F.sum("_m").over(Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first()))
+    ranked = band.withColumns({"_end": end, "_pos": position})
 
+    def at(rank: Column) -> Column:
+        held = (F.col("_end") - F.col("_m") <= rank) & (rank < F.col("_end"))
+        return F.min(F.when(held, F.col("_v")))
 
-def _narrow(values: DataFrame, state: DataFrame, keys: list[str], buckets: int) -> DataFrame:
-    """One histogram pass: shrink each group's [lo, hi] to the buckets holding its target ranks."""
-    cand = (values.join(state.select(*keys, "_lo", "_hi"), keys)
-            .where(F.col("_v").between(F.col("_lo"), F.col("_hi"))))
-    bucket = F.when(F.col("_lo") < F.col("_hi"),
-                    F.width_bucket(F.col("_v"), F.col("_lo"), F.col("_hi"), F.lit(buckets))
-                    ).otherwise(F.lit(1))
-    hist = cand.groupBy(*keys, bucket.alias("_b")).agg(
-        F.sum("_m").alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax"),
-        F.count(F.lit(1)).alias("_bd"))
-    w = Window.partitionBy(*keys).orderBy("_b")  # at most buckets + 1 rows per group
-    hist = (hist.withColumn("_cum", F.sum("_c").over(w))
-            .join(state.select(*keys, "_r0", "_r1", "_below"), keys))
-    start = F.col("_below") + F.col("_cum") - F.col("_c")
-    end = F.col("_below") + F.col("_cum")
-    in0 = (start <= F.col("_r0")) & (F.col("_r0") < end)
-    in1 = (start <= F.col("_r1")) & (F.col("_r1") < end)
-    edges = hist.groupBy(*keys).agg(
-        F.min(F.when(in0, F.col("_b"))).alias("_b0"), F.max(F.when(in1, F.col("_b"))).alias("_b1"))
-    kept = hist.join(edges, keys).where(F.col("_b").between(F.col("_b0"), F.col("_b1")))
-    narrowed = kept.groupBy(*keys).agg(
-        F.min("_bmin").alias("_lo"), F.max("_bmax").alias("_hi"),
-        F.min(start).alias("_below"), F.sum("_bd").alias("_d"))
-    return (state.drop("_lo", "_hi", "_below", "_d").join(narrowed, keys, "left")
-            .select(*keys, "_pos", "_r0", "_r1", "_lo", "_hi",
-                    F.coalesce(F.col("_below"), F.lit(0)).cast("bigint").alias("_below"),
-                    F.coalesce(F.col("_d"), F.lit(0)).alias("_d")))
+    picked = ranked.groupBy(*keys).agg(F.max("_n").alias("_n"), F.max("_pos").alias("_pos"),
+                                       at(F.floor("_pos")).alias("_v0"), at(F.ceil("_pos")).alias("_v1"))
+    lower, higher, pos = F.floor("_pos"), F.ceil("_pos"), F.col("_pos")
+    between = (higher - pos) * F.col("_v0") + (pos - lower) * F.col("_v1")
+    result = (F.when(F.col("_n") == 0, F.lit(None).cast("double"))
+              .when(F.col("_v0").isNull() | F.col("_v1").isNull(),
+                    F.raise_error(F.lit("the quantile summary missed a wanted rank")).cast("double"))
+              .when((lower == higher) | (F.col("_v0") == F.col("_v1")), F.col("_v0"))
+              .otherwise(between))
+    return picked.select(*keys, result.alias(name))

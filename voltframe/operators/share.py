@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -19,3 +20,16 @@ def share_of_group(df: DataFrame, value: str, group: Sequence[str], name: str,
     """
     total = F.sum(value).over(Window.partitionBy(*group))
     return df.withColumn(name, percent(F.col(value), total, digits))
+
+
+def share_of_large_group(df: DataFrame, value: str, group: Sequence[str], name: str,
+                         digits: int = 2) -> DataFrame:
+    """The same for groups of any size: totals by partial aggregation, joined back.
+
+    A group is summed on the map side and never gathered; the join sends the totals
+    to the rows (broadcast by measured size), or splits a hot group's partition (AQE
+    skew join).  NULL group keys are a group, as in a window.
+    """
+    totals = df.groupBy(*[F.col(g).alias(f"_g_{g}") for g in group]).agg(F.sum(value).alias("_total"))
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group])
+    return df.join(totals, same).select(*df.columns, percent(F.col(value), F.col("_total"), digits).alias(name))

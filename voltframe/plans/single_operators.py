@@ -7,16 +7,17 @@ against the SQL oracle.  IDs in the docstrings are the survey's.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltframe.functions.casting import percent, try_int, zero_if_null
 from voltframe.functions.predicates import any_of, four_digit_year, in_list, within_recent
-from voltframe.operators.change import change_from_previous
+from voltframe.operators.change import change_along_order, change_from_previous
 from voltframe.operators.joins import full_outer_coalesced, left_join_chain, scalar, with_scalar
 from voltframe.operators.latest import latest
+from voltframe.operators.ordering import positions
 from voltframe.operators.percentile import exact_percentile
-from voltframe.operators.share import share_of_group
+from voltframe.operators.share import share_of_group, share_of_large_group
 from voltframe.operators.unions import union_all, zero_padded_union
 from voltframe.plans.views import (ENERGY_SOURCES, GENERATOR_KEY, MW, Tables, _max_year,
                                    _recent_retirements, _mw_if)
@@ -318,9 +319,19 @@ def order_nulls(t: Tables) -> DataFrame:
     """O1: PostgreSQL order (DESC puts NULL first) made visible as a position per county."""
     per_plant = (_gen(t).where(F.col("file_year") == _max_year(t))
                  .groupBy("state", "county", "plant_code").agg(F.sum(MW).alias("capacity_mw")))
-    w = Window.partitionBy("state", "county").orderBy(F.col("capacity_mw").desc_nulls_first(),
-                                                      F.col("plant_code").asc_nulls_last())
-    return per_plant.withColumn("position", F.row_number().over(w).cast("bigint"))
+    return positions(per_plant, ["state", "county"], "-capacity_mw", "plant_code")
+
+
+def change_along_state(t: Tables) -> DataFrame:
+    """W4 on raw rows: each generator row's capacity less that of the row before it in its state."""
+    rows = _gen(t).select("state", *KEY_YEAR, MW)
+    return change_along_order(rows, MW, ["state"], "file_year", "plant_code", "generator_id", name="change_mw")
+
+
+def share_of_state_year(t: Tables) -> DataFrame:
+    """W5 on raw rows: each generator row's share of its state's capacity in its release."""
+    rows = _gen(t).select("state", *KEY_YEAR, MW)
+    return share_of_large_group(rows, MW, ["state", "file_year"], "pct_of_state_capacity")
 
 
 OPERATOR_QUERIES = {
@@ -361,4 +372,6 @@ OPERATOR_QUERIES = {
     "union_tagged": union_tagged,
     "union_zero_padded": union_zero_padded,
     "order_nulls": order_nulls,
+    "change_along_state": change_along_state,
+    "share_of_state_year": share_of_state_year,
 }

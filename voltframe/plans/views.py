@@ -118,8 +118,8 @@ def median_battery_capacity_by_year(t: Tables, approx: bool = False,
     """Ke: exact interpolated median per release year.
 
     A release year is a group that may hold a large share of all rows, so the
-    median is computed by :func:`exact_percentile` (distinct values, histogram
-    narrowing, bounded final ranking) rather than one task per year.
+    median is computed by :func:`exact_percentile` (a quantile summary bounds the
+    values that are ranked) rather than one task per year.
     ``approx=True`` uses ``percentile_approx`` instead.
     """
     e = _mw_not_null(t["energystorage.operable"]).select(*GENERATOR_KEY, "file_year", "file_date", MW)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # Defaults for a large cluster (hundreds of executors, tens of TB per job):
@@ -64,6 +65,13 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="voltframe-")
 
 
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written once as a Parquet table in the shared folder and read back; the folder is the run's to clean."""
+    path = f"{shared_folder(df.sparkSession)}/voltframe-{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
