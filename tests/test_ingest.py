@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltframe.sources.delimited import data_rows, load_report, read_extracts, rejected_rows
+from voltframe.sources.delimited import (data_rows, load_report, read_extracts, read_records, rejected_rows,
+                                         split_records, whole_records)
 from voltframe.sources.ingest import add_lineage, conform, reject_counts
 from voltframe.sources.releases import SURVEY_TABLE_MAP, check_year_range, is_data_file, select_years, table_names
 from voltframe.sources.sinks import replace_years, write_metadata, write_releases
@@ -163,3 +164,62 @@ def test_arrow_hand_over(spark):
     out = conform(df.withColumn("file_year", F.lit(2024)), "t", SCHEMA)
     got = sorted((r.utility_id, r.nameplate_capacity_mw) for r in out.collect())
     assert got == [(1, Decimal("1.500000")), (2, None)]
+
+
+PIECES = ['a', 'b,c', '"x"', '"', '""', '\n', '\r\n', '\n\n', ',', '"two\nlines"', 'é', ' ']
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_splits_give_the_records_of_the_whole_file(spark, tmp_path, seed):
+    """Random text, quotes open or closed anywhere, splits of a few bytes."""
+    import random
+    rng = random.Random(seed)
+    paths = []
+    for k in range(3):
+        path = tmp_path / f"{k}.csv"
+        path.write_text("﻿" * (k % 2) + "".join(rng.choice(PIECES) for _ in range(rng.choice([0, 5, 400]))),
+                        newline="")
+        paths.append(str(path))
+    want = sorted((r.path, r.position, r.record) for r in whole_records(spark, paths).collect())
+    for key in ("maxPartitionBytes", "openCostInBytes"):
+        spark.conf.set(f"spark.sql.files.{key}", "50")
+    try:
+        got = split_records(spark, paths)
+        assert sorted((r.path, r.position, r.record) for r in got.collect()) == want
+        head = sorted((r.path, r.position, r.record) for r in read_records(spark, paths, set(paths), head=True)
+                      .where("position < 2").collect())
+        assert head == [w for w in want if w[1] < 2]
+    finally:
+        for key in ("maxPartitionBytes", "openCostInBytes"):
+            spark.conf.unset(f"spark.sql.files.{key}")
+    assert sorted((r.path, r.position, r.record) for r in whole_records(spark, paths, head=True).collect()) == head
+
+
+def test_large_extracts_use_many_tasks(spark, tmp_path):
+    folder = tmp_path / "2022"
+    folder.mkdir()
+    path = folder / "x.csv"
+    rows = "".join(f'{k},"line one\nline two of {k}",{k % 7}\n' for k in range(20_000))
+    path.write_text('Title\n"Utility\nID",Utility Name,"Plant Code"\n' + rows + "footnote\n", newline="")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        (small,) = read_extracts(spark, [str(path)])
+        (large,) = read_extracts(spark, [str(path)], whole_bytes=1000)
+        key = lambda df: sorted(map(str, data_rows(df).collect()))
+        assert key(small) == key(large) and len(key(large)) == 20_000
+        assert [r.record for r in rejected_rows(large).collect()] == ["footnote"]
+        scan = spark.read.option("lineSep", "\n").text(str(path)).rdd.getNumPartitions()
+        assert scan >= 8
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_bare_carriage_return_in_a_split_file_is_an_error(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text('t\nh\n"in\rside",2\n', newline="")
+    assert [r.record for r in split_records(spark, [str(path)]).where("position = 2").collect()] == ['"in\rside",2']
+    path.write_text("t\nh\na,1\rb,2\n", newline="")
+    with pytest.raises(Exception, match="carriage return outside quotes"):
+        split_records(spark, [str(path)]).collect()

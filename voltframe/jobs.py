@@ -30,11 +30,11 @@ from pyspark.sql import types as T
 from voltframe import registry
 from voltframe.plans import profile as P
 from voltframe.plans.views import register_warehouse
-from voltframe.sources.delimited import (data_rows, group_by_header, load_report, read_group, rejected_rows,
-                                         standard_headers, union_balanced)
-from voltframe.sources.ingest import conform, reject_counts
+from voltframe.sources.delimited import (REJECTED, data_rows, group_by_header, large_files, load_report, read_group,
+                                         rejected_rows, standard_headers, union_balanced)
+from voltframe.sources.ingest import conform, lost_casts
 from voltframe.sources.releases import check_year_range, is_data_file, table_names
-from voltframe.sources.sinks import write_metadata, write_tables
+from voltframe.sources.sinks import write_metadata, write_tables, written_tables
 
 
 def sheet_listing(spark: SparkSession, landing: str, start_year: int, end_year: int) -> DataFrame:
@@ -64,14 +64,15 @@ def _files_by_table(listing: DataFrame) -> dict[str, list[str]]:
 def _groups(spark: SparkSession, by_table: dict[str, list[str]]) -> list[tuple[str, DataFrame]]:
     """(table, DataFrame) per table and distinct header; all headers come from one scan."""
     table_of = {p: t for t, paths in by_table.items() for p in paths}
-    headers = group_by_header(spark, [p for paths in by_table.values() for p in paths])
+    large = large_files(spark, table_of) if table_of else set()
+    headers = group_by_header(spark, table_of, large)
     names = standard_headers(spark, headers)
     out = []
     for header, paths in headers.items():
         own: dict[str, list[str]] = defaultdict(list)
         for p in paths:
             own[table_of[p]].append(p)
-        out += [(table, read_group(spark, names[header], files)) for table, files in sorted(own.items())]
+        out += [(table, read_group(spark, names[header], files, large)) for table, files in sorted(own.items())]
     return out
 
 
@@ -121,6 +122,17 @@ def derived_schemas(spark: SparkSession, metadata: str) -> dict[str, T.StructTyp
     return {t: T.StructType([*own, *LINEAGE]) for t, own in fields.items()}
 
 
+#: Beside the declared columns: names of the columns whose text failed its cast.
+LOST = "_lost"
+
+
+def _tagged(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows with the declared columns, ``path``, the rejected record and the failed casts."""
+    kept = [T.StructField(n, T.StringType()) for n in ("path", REJECTED)]
+    lost = rows.withColumn(LOST, F.when(F.col(REJECTED).isNull(), F.expr(lost_casts(rows, schema))))
+    return conform(lost, "", T.StructType([*schema, *kept, T.StructField(LOST, lost.schema[LOST].dataType)]))
+
+
 def load_raw(spark: SparkSession, landing: str, warehouse: str, start_year: int, end_year: int,
              max_parallel: int = 4, schemas: str | None = None, views: bool = False) -> list[str]:
     """Load every extract into ``warehouse/<schema.table>`` (replace loaded years) and write the report.
@@ -136,25 +148,26 @@ def load_raw(spark: SparkSession, landing: str, warehouse: str, start_year: int,
     unknown = sorted(set(by_table) - set(declared))
     if unknown:
         raise ValueError(f"no declared schema for {', '.join(unknown)}; derive schemas first and pass them")
-    groups = _groups(spark, by_table)
     upload = F.current_timestamp().cast("timestamp_ntz")
     parts: dict[str, list[DataFrame]] = defaultdict(list)
-    casts = []
-    for table, g in groups:
-        rows = data_rows(g)
-        parts[table].append(conform(rows.withColumn("upload_timestamp", upload), table, declared[table]))
-        casts.append(reject_counts(rows, table, declared[table], by_year=True).withColumn("table_name", F.lit(table)))
-    tables = {table: union_balanced(own) for table, own in parts.items()}
-    write_tables(tables, warehouse, max_parallel=max_parallel)
-    if groups:
+    for table, g in _groups(spark, by_table):
+        parts[table].append(_tagged(g.withColumn("upload_timestamp", upload), declared[table]))
+    # The extracts are parsed once, into typed rows that carry their path, the text of a
+    # rejected record and the columns whose cast failed; everything else reads those.
+    parsed = written_tables({t: union_balanced(own) for t, own in parts.items()}, "load", max_parallel)
+    write_tables({t: rows.where(F.col(REJECTED).isNull()).select(*declared[t].names)
+                  for t, rows in parsed.items()}, warehouse, max_parallel=max_parallel)
+    if parsed:
         folder = f"{warehouse.rstrip('/')}/_load"
-        write_metadata(load_report([g for _, g in groups]), f"{folder}/report")
-        write_metadata(union_balanced([rejected_rows(g) for _, g in groups]), f"{folder}/rejects")
-        write_metadata(union_balanced(casts).groupBy("table_name", "file_year", "column")
-                       .agg(F.sum("rejected").alias("rejected")).where("rejected > 0"), f"{folder}/casts")
+        write_metadata(load_report(parsed.values()), f"{folder}/report")
+        write_metadata(union_balanced([rejected_rows(rows) for rows in parsed.values()]), f"{folder}/rejects")
+        lost = union_balanced([rows.where(F.size(LOST) > 0).select(
+            F.lit(t).alias("table_name"), "file_year", F.explode(LOST).alias("column")) for t, rows in parsed.items()])
+        write_metadata(lost.groupBy("table_name", "file_year", "column").agg(F.count(F.lit(1)).alias("rejected")),
+                       f"{folder}/casts")
     if views:
         register_warehouse(spark, warehouse)
-    return sorted(tables)
+    return sorted(parsed)
 
 
 def main(argv: list[str] | None = None) -> None:

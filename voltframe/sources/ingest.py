@@ -84,6 +84,18 @@ def conform(df: DataFrame, table: str, schema: T.StructType | None = None) -> Da
     return df.selectExpr(*exprs)
 
 
+def lost_casts(df: DataFrame, schema: T.StructType) -> str:
+    """SQL text of an array with the names of the columns whose non-NULL text fails its declared cast."""
+    present = {f.name: f.dataType for f in df.schema.fields}
+    names = []
+    for f in schema.fields:
+        if f.name in present and present[f.name] != f.dataType:
+            cast = coerce_sql(f.name, present[f.name], f.dataType)
+            label = f.name.replace("'", "\\'")
+            names.append(f"CASE WHEN {_quote(f.name)} IS NOT NULL AND {cast} IS NULL THEN '{label}' END")
+    return f"array_compact(array({', '.join(names)}))" if names else "CAST(array() AS array<string>)"
+
+
 def reject_counts(df: DataFrame, table: str, schema: T.StructType | None = None,
                   by_year: bool = False) -> DataFrame:
     """T7 report: per declared column (and ``file_year``), how many non-NULL raw values failed coercion."""
