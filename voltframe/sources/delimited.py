@@ -21,7 +21,7 @@ from collections import defaultdict
 from typing import Iterable
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,6 +67,11 @@ def read_records(spark: SparkSession, paths: Iterable[str], large: set[str] = fr
     return union_balanced(parts)
 
 
+def _ended(record: Column) -> Column:
+    """Without the line ends of the file's end, which only a record with an unclosed quote holds."""
+    return F.rtrim(record, F.lit("\r\n"))
+
+
 def whole_records(spark: SparkSession, paths: list[str], head: bool = False) -> DataFrame:
     """Records of files that fit a task each."""
     files = (spark.read.text(paths, wholetext=True)
@@ -77,9 +82,10 @@ def whole_records(spark: SparkSession, paths: list[str], head: bool = False) ->
         first_two = rf"^[\r\n]*+({RECORD})(?:[\r\n]++({RECORD}))?"
         found = F.array(*[F.nullif(F.regexp_extract(text, first_two, k), F.lit("")) for k in (1, 2)])
         rows = files.select("path", "file_date", F.posexplode(found).alias("position", "record"))
-        return rows.where(F.col("record").isNotNull())
-    return files.select("path", "file_date", F.posexplode(F.regexp_extract_all(text, F.lit(RECORD), F.lit(0)))
+        return rows.where(F.col("record").isNotNull()).withColumn("record", _ended(F.col("record")))
+    rows = files.select("path", "file_date", F.posexplode(F.regexp_extract_all(text, F.lit(RECORD), F.lit(0)))
                         .alias("position", "record"))
+    return rows.withColumn("record", _ended(F.col("record")))
 
 
 def split_records(spark: SparkSession, paths: list[str], head: bool = False) -> DataFrame:
@@ -127,7 +133,7 @@ def split_records(spark: SparkSession, paths: list[str], head: bool = False) ->
     found = F.regexp_extract_all(text, F.lit(RECORD), F.lit(0))
     one = F.when(F.size(found) == 1, found[0]).otherwise(F.raise_error(F.concat(
         F.lit("a carriage return outside quotes ends a line in the middle of "), F.col("path"))))
-    return records.select("path", "file_date", "position", one.alias("record"))
+    return records.select("path", "file_date", "position", _ended(one).alias("record"))
 
 
 def read_headers(spark: SparkSession, paths: Iterable[str], large: set[str] = frozenset()) -> dict[str, tuple[str, ...]]:
