@@ -131,3 +131,33 @@ def test_views_answer_from_reloaded_data(spark, tmp_path):
     assert [r[0] for r in got.collect()] == [1.0]
     storage_mw = spark.sql(f"SELECT sum(storage_mw) FROM analysis_capacity_by_tech_geo_year WHERE file_year = {year}")
     assert float(storage_mw.first()[0]) in (0.0, 1.0)
+
+
+def test_load_reads_the_extracts_once_for_rows(spark, tmp_path, monkeypatch):
+    """Without rejects and failed casts nothing is parsed a second time; with them, only the files concerned."""
+    from voltframe import jobs
+    seen = []
+    real = jobs.read_group
+    monkeypatch.setattr(jobs, "read_group", lambda s, names, paths, large: seen.append(len(paths)) or real(s, names, paths, large))
+    landing = landing_folder(tmp_path)
+    load_raw(spark, landing, str(tmp_path / "wh"), 2023, 2023)
+    assert seen == [1, 1, 1]
+    seen.clear()
+    load_raw(spark, landing, str(tmp_path / "wh"), 2022, 2023)
+    assert sorted(seen) == [1] * 5  # four files, and the one with a footnote again
+
+
+def test_failed_casts_and_wrong_counts(spark, tmp_path, monkeypatch):
+    from voltframe import jobs
+    landing = landing_folder(tmp_path)
+    bad = tmp_path / "landing" / "2023" / "3_1_Generator_Y2023.xlsx" / "Operable.csv"
+    bad.write_text(GEN_2023.replace("5,1990", "five,1990"))
+    wh = str(tmp_path / "wh")
+    load_raw(spark, landing, wh, 2022, 2023)
+    casts = [(r.table_name, r.file_year, r.column, r.rejected) for r in spark.read.json(f"{wh}/_load/casts").collect()]
+    assert casts == [("generator.operable", 2023, "nameplate_capacity_mw", 1)]
+    want = sorted(map(str, spark.read.json(f"{wh}/_load/report").collect()))
+    report = jobs.Watch.report
+    monkeypatch.setattr(jobs.Watch, "report", lambda self: [(u, y, 2 * n, 2 * k, r) for u, y, n, k, r in report(self)])
+    load_raw(spark, landing, wh, 2022, 2023)  # counts that do not fit the tables are not reported
+    assert sorted(map(str, spark.read.json(f"{wh}/_load/report").collect())) == want

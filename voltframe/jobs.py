@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import argparse
 from collections import defaultdict
+from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,11 +32,11 @@ from pyspark.sql import types as T
 from voltframe import registry
 from voltframe.plans import profile as P
 from voltframe.plans.views import register_warehouse
-from voltframe.sources.delimited import (REJECTED, data_rows, group_by_header, large_files, load_report, read_group,
-                                         rejected_rows, standard_headers, union_balanced)
-from voltframe.sources.ingest import conform, lost_casts
+from voltframe.sources.delimited import (REJECTED, REPORT, Watch, data_rows, group_by_header, large_files, load_report,
+                                         read_group, rejected_rows, standard_headers, union_balanced)
+from voltframe.sources.ingest import conform, lost_casts, reject_counts
 from voltframe.sources.releases import check_year_range, is_data_file, table_names
-from voltframe.sources.sinks import write_metadata, write_tables, written_tables
+from voltframe.sources.sinks import write_metadata, write_tables
 
 
 def sheet_listing(spark: SparkSession, landing: str, start_year: int, end_year: int) -> DataFrame:
@@ -61,18 +63,30 @@ def _files_by_table(listing: DataFrame) -> dict[str, list[str]]:
     return {t: sorted(p) for t, p in sorted(by_table.items())}
 
 
-def _groups(spark: SparkSession, by_table: dict[str, list[str]]) -> list[tuple[str, DataFrame]]:
-    """(table, DataFrame) per table and distinct header; all headers come from one scan."""
+@dataclass
+class Group:
+    """A table's files with one header: their paths and URIs, and their records."""
+    table: str
+    files: dict[str, str]
+    names: list[str]
+    large: set[str]
+
+    def rows(self, spark: SparkSession, files: Iterable[str] | None = None) -> DataFrame:
+        return read_group(spark, self.names, list(self.files if files is None else files), self.large)
+
+
+def _groups(spark: SparkSession, by_table: dict[str, list[str]]) -> list[Group]:
+    """The files by table and distinct header; all headers come from one scan."""
     table_of = {p: t for t, paths in by_table.items() for p in paths}
     large = large_files(spark, table_of) if table_of else set()
     headers = group_by_header(spark, table_of, large)
     names = standard_headers(spark, headers)
     out = []
     for header, paths in headers.items():
-        own: dict[str, list[str]] = defaultdict(list)
-        for p in paths:
-            own[table_of[p]].append(p)
-        out += [(table, read_group(spark, names[header], files, large)) for table, files in sorted(own.items())]
+        own: dict[str, dict[str, str]] = defaultdict(dict)
+        for p, uri in paths.items():
+            own[table_of[p]][p] = uri
+        out += [Group(table, files, names[header], large) for table, files in sorted(own.items())]
     return out
 
 
@@ -80,7 +94,7 @@ def derive_schemas(spark: SparkSession, landing: str, out: str, start_year: int,
                    widen_numeric: bool = False, strict_yn: bool = False) -> dict[str, DataFrame]:
     """Profile all releases (P1-P9), consolidate (P5), report years (P6/P7), render DDL."""
     listing = sheet_listing(spark, landing, start_year, end_year)
-    groups = [(table, data_rows(g).drop("file_date")) for table, g in _groups(spark, _files_by_table(listing))]
+    groups = [(g.table, data_rows(g.rows(spark)).drop("file_date")) for g in _groups(spark, _files_by_table(listing))]
     long = P.long_cells(groups)
     profile = P.profile_table(long, strict_yn=strict_yn)
     # Write the per-year profile once; every other artefact is derived from that
@@ -122,15 +136,26 @@ def derived_schemas(spark: SparkSession, metadata: str) -> dict[str, T.StructTyp
     return {t: T.StructType([*own, *LINEAGE]) for t, own in fields.items()}
 
 
-#: Beside the declared columns: names of the columns whose text failed its cast.
-LOST = "_lost"
+def _watched(rows: DataFrame, schema: T.StructType, watch: Watch) -> DataFrame:
+    """The rows to load with the declared columns; ``watch`` counts all records on the way."""
+    kept = [T.StructField(n, T.StringType()) for n in ("path", REJECTED)]
+    lost = rows.withColumn("_lost", F.expr(f"{REJECTED} IS NULL AND size({lost_casts(rows, schema)}) > 0"))
+    typed = conform(lost, "", T.StructType([*schema, *kept, T.StructField("_lost", T.BooleanType())]))
+    seen = watch.over(typed, F.col("_lost"))
+    return seen.where(F.col(REJECTED).isNull()).select(*schema.names)
 
 
-def _tagged(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows with the declared columns, ``path``, the rejected record and the failed casts."""
-    kept = [T.StructField(n, T.StringType()) for n in ("path", REJECTED)]
-    lost = rows.withColumn(LOST, F.when(F.col(REJECTED).isNull(), F.expr(lost_casts(rows, schema))))
-    return conform(lost, "", T.StructType([*schema, *kept, T.StructField(LOST, lost.schema[LOST].dataType)]))
+def _counts_hold(spark: SparkSession, warehouse: str, report: dict[str, list[tuple]]) -> bool:
+    """Whether the written tables have the rows that were counted (a stage run twice counts twice)."""
+    want = {(t, year): 0 for t, rows in report.items() for _, year, *_ in rows}
+    for t, rows in report.items():
+        for _, year, _, loaded, _ in rows:
+            want[t, year] += loaded
+    written = [spark.read.parquet(f"{warehouse.rstrip('/')}/{t}").where(F.col("file_year").isin(sorted({r[1] for r in rows})))
+               .groupBy("file_year").count().select(F.lit(t).alias("t"), "file_year", "count")
+               for t, rows in report.items() if any(r[3] for r in rows)]
+    got = {(r.t, r.file_year): r["count"] for r in union_balanced(written).toLocalIterator()} if written else {}
+    return {k: n for k, n in want.items() if n} == got
 
 
 def load_raw(spark: SparkSession, landing: str, warehouse: str, start_year: int, end_year: int,
@@ -150,24 +175,45 @@ def load_raw(spark: SparkSession, landing: str, warehouse: str, start_year: int,
         raise ValueError(f"no declared schema for {', '.join(unknown)}; derive schemas first and pass them")
     upload = F.current_timestamp().cast("timestamp_ntz")
     parts: dict[str, list[DataFrame]] = defaultdict(list)
-    for table, g in _groups(spark, by_table):
-        parts[table].append(_tagged(g.withColumn("upload_timestamp", upload), declared[table]))
-    # The extracts are parsed once, into typed rows that carry their path, the text of a
-    # rejected record and the columns whose cast failed; everything else reads those.
-    parsed = written_tables({t: union_balanced(own) for t, own in parts.items()}, "load", max_parallel)
-    write_tables({t: rows.where(F.col(REJECTED).isNull()).select(*declared[t].names)
-                  for t, rows in parsed.items()}, warehouse, max_parallel=max_parallel)
-    if parsed:
-        folder = f"{warehouse.rstrip('/')}/_load"
-        write_metadata(load_report(parsed.values()), f"{folder}/report")
-        write_metadata(union_balanced([rejected_rows(rows) for rows in parsed.values()]), f"{folder}/rejects")
-        lost = union_balanced([rows.where(F.size(LOST) > 0).select(
-            F.lit(t).alias("table_name"), "file_year", F.explode(LOST).alias("column")) for t, rows in parsed.items()])
-        write_metadata(lost.groupBy("table_name", "file_year", "column").agg(F.count(F.lit(1)).alias("rejected")),
-                       f"{folder}/casts")
+    groups = [(g, Watch(g.files.values())) for g in _groups(spark, by_table)]
+    for g, watch in groups:
+        rows = g.rows(spark).withColumn("upload_timestamp", upload)
+        parts[g.table].append(_watched(rows, declared[g.table], watch))
+    tables = {table: union_balanced(own) for table, own in parts.items()}
+    # The extracts are parsed once, on their way into the tables.
+    write_tables(tables, warehouse, max_parallel=max_parallel)
+    if groups:
+        _write_report(spark, groups, declared, warehouse)
     if views:
         register_warehouse(spark, warehouse)
-    return sorted(parsed)
+    return sorted(tables)
+
+
+def _write_report(spark: SparkSession, groups: list[tuple[Group, Watch]], declared: dict[str, T.StructType],
+                  warehouse: str) -> None:
+    """``_load/report`` from the counts of the write; only files with rejects and groups with failed casts are read again."""
+    folder = f"{warehouse.rstrip('/')}/_load"
+    by_table: dict[str, list[tuple]] = defaultdict(list)
+    for g, watch in groups:
+        by_table[g.table] += watch.report()
+    if _counts_hold(spark, warehouse, by_table):
+        report = spark.createDataFrame([r for rows in by_table.values() for r in rows], REPORT)
+    else:
+        report = load_report([g.rows(spark) for g, _ in groups])
+    write_metadata(report, f"{folder}/report")
+    rejects, casts = [], []
+    for g, watch in groups:
+        bad = {uri for uri, _, _, _, rejected in watch.report() if rejected}
+        if bad:
+            rejects.append(rejected_rows(g.rows(spark, [p for p, uri in g.files.items() if uri in bad])))
+        if watch.lost():
+            counts = reject_counts(data_rows(g.rows(spark)), g.table, declared[g.table], by_year=True)
+            casts.append(counts.withColumn("table_name", F.lit(g.table)))
+    none = spark.createDataFrame([], "path string, file_year int, record string")
+    write_metadata(union_balanced(rejects or [none]), f"{folder}/rejects")
+    none = spark.createDataFrame([], "file_year int, column string, rejected bigint, table_name string")
+    write_metadata(union_balanced(casts or [none]).groupBy("table_name", "file_year", "column")
+                   .agg(F.sum("rejected").alias("rejected")).where("rejected > 0"), f"{folder}/casts")
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -21,7 +21,8 @@ from collections import defaultdict
 from typing import Iterable
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +41,8 @@ REJECTED = "_rejected"
 WHOLE_BYTES = 64 << 20
 #: A large file's title and header lie in splits that begin before this offset.
 HEAD_BYTES = 1 << 20
+#: Characters in which title and header are looked for first.
+HEAD_CHARS = 1 << 16
 _BOM = "^\ufeff"
 
 
@@ -78,9 +81,13 @@ def whole_records(spark: SparkSession, paths: list[str], head: bool = False) ->
              .select("value", F.col("_metadata.file_path").alias("path"),
                      F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("file_date")))
     text = F.regexp_replace("value", _BOM, "")
-    if head:  # the regular expression stops after the second record
-        first_two = rf"^[\r\n]*+({RECORD})(?:[\r\n]++({RECORD}))?"
-        found = F.array(*[F.nullif(F.regexp_extract(text, first_two, k), F.lit("")) for k in (1, 2)])
+    if head:
+        # Two records that end within the first characters spare the rest of the text.
+        first_two = rf"^[\r\n]*+({RECORD})(?:[\r\n]++({RECORD}))"
+        start = F.substring(text, 1, HEAD_CHARS)
+        found = F.array(*[F.coalesce(
+            F.nullif(F.regexp_extract(start, first_two + r"[\r\n]", k), F.lit("")),
+            F.nullif(F.regexp_extract(text, first_two + "?", k), F.lit(""))) for k in (1, 2)])
         rows = files.select("path", "file_date", F.posexplode(found).alias("position", "record"))
         return rows.where(F.col("record").isNotNull()).withColumn("record", _ended(F.col("record")))
     rows = files.select("path", "file_date", F.posexplode(F.regexp_extract_all(text, F.lit(RECORD), F.lit(0)))
@@ -143,17 +150,17 @@ def read_headers(spark: SparkSession, paths: Iterable[str], large: set[str] = fr
 
 
 def group_by_header(spark: SparkSession, paths: Iterable[str],
-                    large: set[str] = frozenset()) -> dict[tuple[str, ...], list[str]]:
-    """Files by header; a file without a header is an error."""
+                    large: set[str] = frozenset()) -> dict[tuple[str, ...], dict[str, str]]:
+    """Files, and the URIs that the scan reports for them, by header; a file without a header is an error."""
     paths = list(paths)
     headers = read_headers(spark, paths, large)
     short = len(paths) - len(headers)
     if short:
         raise ValueError(f"{short} of {len(paths)} extracts have no header line")
     given = {_local(p): p for p in paths}  # the scan reports paths as URIs
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    groups: dict[tuple[str, ...], dict[str, str]] = defaultdict(dict)
     for uri, header in sorted(headers.items()):
-        groups[header].append(given[unquote(_local(uri))])
+        groups[header][given[unquote(_local(uri))]] = uri
     return dict(groups)
 
 
@@ -195,7 +202,7 @@ def read_extracts(spark: SparkSession, paths: Iterable[str], whole_bytes: int |
     large = large_files(spark, paths, whole_bytes)
     groups = group_by_header(spark, paths, large)
     names = standard_headers(spark, groups)
-    return [read_group(spark, names[header], files, large) for header, files in groups.items()]
+    return [read_group(spark, names[header], list(files), large) for header, files in groups.items()]
 
 
 def data_rows(group: DataFrame) -> DataFrame:
@@ -216,6 +223,41 @@ def load_report(groups: Iterable[DataFrame]) -> DataFrame:
         F.count_if(~F.col("loaded")).alias("rows_rejected"))
 
 
+REPORT = "path string, file_year int, rows_read bigint, rows_loaded bigint, rows_rejected bigint"
+
+
+class Watch:
+    """Counts of one group's rows, taken while they are written: by file read and rejected, and rows with failed casts."""
+
+    def __init__(self, uris: Iterable[str]) -> None:
+        self.uris, self.seen = list(uris), Observation()
+
+    def over(self, rows: DataFrame, lost: Column) -> DataFrame:
+        """``rows`` (with ``path`` and ``_rejected``), watched; a group has a file a release."""
+        counts = []
+        for k, uri in enumerate(self.uris):
+            own = F.col("path") == uri
+            counts += [F.count_if(own).alias(f"read{k}"), F.count_if(own & F.col(REJECTED).isNotNull()).alias(f"rejected{k}")]
+        return rows.observe(self.seen, *counts, F.count_if(lost).alias("lost"))
+
+    def counts(self) -> dict[str, int] | None:
+        """The metrics of the finished write; None where Spark found nothing to read and so kept none."""
+        try:
+            return self.seen.get
+        except Py4JJavaError:
+            return None
+
+    def report(self) -> list[tuple]:
+        """Rows of the load report; files without records have none."""
+        got = self.counts() or defaultdict(int)
+        return [(uri, int(re.search(YEAR_IN_PATH, uri).group(1)), got[f"read{k}"],
+                 got[f"read{k}"] - got[f"rejected{k}"], got[f"rejected{k}"])
+                for k, uri in enumerate(self.uris) if got[f"read{k}"]]
+
+    def lost(self) -> int:
+        return (self.counts() or defaultdict(int))["lost"]
+
+
 def union_balanced(parts: list[DataFrame]) -> DataFrame:
     """Unions pairs of pairs, so the plan's depth grows with the logarithm of the parts."""
     while len(parts) > 1:

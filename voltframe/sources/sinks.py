@@ -7,8 +7,6 @@ from typing import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.session import written
-
 
 def replace_years(existing: DataFrame, incoming: DataFrame,
                   years: Iterable[int] | None = None) -> DataFrame:
@@ -58,15 +56,6 @@ def write_tables(tables: Mapping[str, DataFrame], root: str, max_parallel: int =
             f.result()
 
 
-def written_tables(tables: Mapping[str, DataFrame], tag: str, max_parallel: int = 4) -> dict[str, DataFrame]:
-    """Each DataFrame written once to the shared folder and read back, as concurrent jobs."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    with ThreadPoolExecutor(max_workers=max_parallel) as pool:
-        futures = {name: pool.submit(written, df, tag) for name, df in tables.items()}
-        return {name: f.result() for name, f in futures.items()}
-
-
 def jdbc_append(df: DataFrame, url: str, table: str, properties: Mapping[str, str],
                 batch_size: int = 10000) -> None:
     """Append rows to a JDBC table (one connection per task, batched inserts)."""
