@@ -19,6 +19,7 @@ time; memory is bounded by the longest text and the cache bound.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import itertools
 import json
@@ -32,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import slices, text_of
+from voltframe.llm.common import slices, text_of, tidied
 
 VOCABULARY = "word_bpe_49k.json"
 #: Distinct chunks and words that a task keeps before it starts its cache anew.
@@ -289,8 +290,8 @@ def load_vocabulary(path: str) -> str:
         return f.read()
 
 
-def _encode_batches(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    codec = Codec(load_vocabulary(path))
+def _encode_batches(path: str, batches: Iterator[pa.RecordBatch], codec: Codec | None = None) -> Iterator[pa.RecordBatch]:
+    codec = codec or Codec(load_vocabulary(path))
     for batch in slices(batches, 1024):
         out: list[bytes] = []
         group: list[str] = []
@@ -328,8 +329,20 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
         lambda it: _decode_batches(place, it), "doc_id bigint, n_tokens bigint, ids binary, decoded string")
 
 
+def _digest_batches(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Encoding and decoding with one codec; only digests leave the task."""
+    codec = Codec(load_vocabulary(path))
+    digest = lambda raw: hashlib.sha256(raw).hexdigest()
+    for batch in _encode_batches(path, batches, codec):
+        ids = [x.as_py() or b"" for x in batch.column(2)]
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(map(digest, ids), pa.string()),
+                               pa.array((digest(codec.decode(x).encode()) for x in ids), pa.string())],
+                              names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, and the digests of the ids and of the decoded text."""
-    both = decode(encode(docs, path), path)
-    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
-                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    place = path or vocabulary_path()
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of("text").alias("text"))
+    return rows.mapInArrow(lambda it: tidied(_digest_batches(place, it)),
+                           "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +66,25 @@ def slices(batches, rows: int = 256):
             yield batch.slice(at, rows)
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """A name that none of ``columns`` has, whatever the case of its letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def tidied(batches):
+    """Batches of a task's end, after which freed memory goes back to the system: workers outlive their tasks."""
+    yield from batches
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a system without it keeps the pages
+        pass
+
+
 def text_of(column: str | Column) -> Column:
     """The text as a string, null as empty."""
     c = F.col(column) if isinstance(column, str) else column
