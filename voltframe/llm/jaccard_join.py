@@ -43,11 +43,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import WORD_PATTERN, broadcast_if_small, staged, text_of
+from voltframe.llm.common import WORD_PATTERN, broadcast_if_small, free_name, slices, staged, text_of, tidied
 from voltframe.llm.components import components
 
 #: Sets of a block of a coarse group that one task compares.
 BLOCK_SETS = 600
+#: Rows whose shingles and signatures are made side by side.
+SLICE_ROWS = 2048
 
 
 @dataclass(frozen=True)
@@ -82,8 +84,11 @@ class Threshold:
         needed = self.differences(end - 1, end - 1) + 1
         spare = 1
         while True:
-            empty = (needed + spare) * math.exp(-start * self.p / self.q / (needed + spare))
-            if spare >= empty + 6 * math.sqrt(empty) or spare > 4 * needed:
+            # Mean and variance of the number of empty parts when n-grams fall into parts at random.
+            fill = start * self.p / self.q / (needed + spare)
+            empty = (needed + spare) * math.exp(-fill)
+            variance = empty * (1 - (1 + fill) * math.exp(-fill))
+            if spare >= empty + 6 * math.sqrt(variance) + 1 or spare > 4 * needed:
                 return needed + spare, spare
             spare += 1
 
@@ -120,7 +125,7 @@ def _identity(grams: np.ndarray) -> tuple[int, int]:
 
 
 def _identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, SLICE_ROWS):
         rows = [(len(s), *_identity(s)) for s in _sets(batch.column(1))]
         columns = [pa.array(c, pa.int64()) for c in zip(*rows)] or [pa.array([], pa.int64())] * 3
         yield pa.record_batch([batch.column(0), *columns], names=["doc_id", "n_shingles", "set_id", "proof"])
@@ -128,7 +133,7 @@ def _identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row's set under its set_id."""
-    for batch in batches:
+    for batch in slices(batches, SLICE_ROWS):
         sets = list(_sets(batch.column(0)))
         yield pa.record_batch([pa.array([_identity(s)[0] for s in sets], pa.int64()),
                                pa.array(sets, pa.list_(pa.int64()))], names=["set_id", "grams"])
@@ -162,7 +167,7 @@ def signatures(grams: np.ndarray, threshold: Threshold, starts: np.ndarray) -> n
 
 
 def _sign(threshold: Threshold, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, SLICE_ROWS):
         sets = {_identity(s)[0]: s for s in _sets(batch.column(0)) if len(s) >= threshold.least_size}
         if not sets:
             continue
@@ -313,7 +318,7 @@ def _compared(docs: DataFrame, groups: DataFrame, threshold: Threshold, words: i
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     # An id does not tell which set a row has, and a set may have no id: the shingles are named again by their set.
     wanted = own.join(broadcast_if_small(ids), "doc_id").unionAll(own.where("doc_id is null"))
-    grams = with_shingles(wanted, words).mapInArrow(_named, "set_id bigint, grams array<bigint>") \
+    grams = with_shingles(wanted, words).mapInArrow(lambda it: tidied(_named(it)), "set_id bigint, grams array<bigint>") \
         .groupBy("set_id").agg(F.min("grams").alias("grams"))
     rows = placed.drop("doc_id").join(grams, "set_id")
     return rows.groupBy("component", "class", "block_a", "block_b").applyInArrow(
@@ -324,16 +329,16 @@ def join(docs: DataFrame, words: int = 3, threshold: Threshold = Threshold(9, 10
     """doc_id, n_shingles, component_id (smallest linked doc_id) and n_links (other documents linked directly)."""
     rows = with_shingles(docs, words, "doc_id").select(F.col("doc_id").cast("bigint").alias("doc_id"), "grams")
     known = staged(rows.mapInArrow(
-        _identify, "doc_id bigint, n_shingles bigint, set_id bigint, proof bigint"), "jaccard-sets")
+        lambda it: tidied(_identify(it)), "doc_id bigint, n_shingles bigint, set_id bigint, proof bigint"), "jaccard-sets")
     sets = staged(known.where("n_shingles > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"),
         F.min("n_shingles").alias("n_shingles"), F.min("proof").alias("proof"), F.max("proof").alias("proof_too")),
         "jaccard-distinct")
     if sets.where("proof <> proof_too").limit(1).count():
         raise RuntimeError("two different sets share 64 bits of their digests")
-    signed = rows.select("grams").mapInArrow(lambda it: _sign(threshold, it), "sign bigint, set_id bigint")
+    signed = rows.select("grams").mapInArrow(lambda it: tidied(_sign(threshold, it)), "sign bigint, set_id bigint")
     # One shuffle by signature; the order inside a task lets it stream, whatever a signature's rows.
-    shared = signed.repartition("sign").sortWithinPartitions("sign", "set_id").mapInArrow(_share, "u bigint, v bigint")
+    shared = signed.repartition("sign").sortWithinPartitions("sign", "set_id").mapInArrow(lambda it: tidied(_share(it)), "u bigint, v bigint")
     coarse = components(staged(shared.distinct(), "jaccard-shared"))
     groups = staged(sets.select("set_id", "doc_id", "copies", "n_shingles")
                     .join(coarse.withColumnRenamed("node", "set_id"), "set_id"), "jaccard-coarse")
@@ -359,5 +364,6 @@ def keep_one(docs: DataFrame, words: int = 5, threshold: Threshold = Threshold(4
     """The rows of ``docs`` whose doc_id is the smallest of its group, and those without doc_id."""
     dropped = staged(join(docs, words, threshold).where("doc_id <> component_id").select("doc_id").distinct(),
                      "jaccard-dropped")
-    return docs.join(broadcast_if_small(dropped.withColumnRenamed("doc_id", "_dropped")),
-                     docs["doc_id"].cast("bigint") == F.col("_dropped"), "left_anti")
+    dropped = dropped.withColumnRenamed("doc_id", free_name("dropped", docs.columns))
+    return docs.join(broadcast_if_small(dropped), docs["doc_id"].cast("bigint") == dropped[dropped.columns[0]],
+                     "left_anti")
