@@ -11,7 +11,8 @@ def documents(spark):
         df = spark.createDataFrame(full, DOC)
         if extra:
             from pyspark.sql import functions as F
-            for name in ("words", "size", "row", "content", "score", "label", "terms", "component", "n_words", "ids"):
+            for name in ("words", "size", "row", "content", "score", "label", "terms", "component", "n_words", "ids",
+                         "_slots", "slots", "_dropped", "dropped", "_text", "_words", "grams", "set_id"):
                 df = df.withColumn(name, F.lit("x"))
         return df
     return build

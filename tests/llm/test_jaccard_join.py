@@ -89,3 +89,24 @@ def test_repeated_id_with_two_texts_and_a_set_without_id(spark, documents):
     got = jaccard_join.join(documents(rows)).collect()
     assert sorted((r["doc_id"] or 0, r["component_id"], r["n_links"]) for r in got) == [
         (0, 20, 2), (5, 5, 1), (5, 5, 1), (6, 5, 1), (7, 5, 1), (20, 20, 1), (21, 20, 1)]
+
+
+def test_keep_one_with_clashing_names(spark, documents):
+    text = "one two three four five six seven eight nine ten " * 3
+    df = documents([(1, text), (2, text), (3, "other words " * 9), (None, text), (4, None)], extra=True)
+    got = jaccard_join.keep_one(df)
+    assert got.columns == df.columns and sorted(map(str, (r.doc_id for r in got.collect()))) == ["1", "3", "4", "None"]
+
+
+def test_parts_of_the_pipeline_are_few_and_enough():
+    """A set's parts stay near its most differences, and rarely more than the spare ones are empty."""
+    import numpy as np
+    threshold, rng = jaccard_join.Threshold(4, 5), np.random.default_rng(1)
+    starts = threshold.classes(400)
+    for a, b in zip(starts[:-1], starts[1:]):
+        parts, spare = threshold.parts(int(a), int(b))
+        assert parts - spare == threshold.differences(int(b) - 1, int(b) - 1) + 1
+        if a >= 60:
+            assert parts <= 0.62 * b + 12
+            empty = [parts - len(np.unique(rng.integers(0, parts, int(a)))) for _ in range(300)]
+            assert np.mean(np.array(empty) > spare) < 0.01

@@ -51,3 +51,11 @@ def test_pairs_count_together():
     starts = np.concatenate(([0], np.cumsum([len(s) for s in slots])))
     score = machine.scores(np.concatenate(slots), starts)
     assert ((score > 0.5) == (a & b).astype(bool)).all()
+
+
+def test_reject_with_clashing_names(spark, documents):
+    rows = [(k, "vile insult here" if k % 3 == 0 else f"a calm text {k % 11}") for k in range(400)]
+    labels = spark.createDataFrame([(k, 1, int(k % 3 == 0)) for k, _ in rows], "doc_id bigint, quality int, toxic int")
+    df = documents(rows, extra=True)
+    got = toxicity.reject_toxic(df, labels)
+    assert got.columns == df.columns and sorted(r.doc_id for r in got.collect()) == [k for k, _ in rows if k % 3]

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltframe.llm.common import slices, staged, text_of
+from voltframe.llm.common import slices, staged, text_of, tidied
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("secret", "local_phone", "identity", "name")
@@ -315,4 +315,4 @@ def _redact(model: Classifier, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced by its kind."""
     model = train(staged(scan(docs), "pii-found"))
-    return docs.mapInArrow(lambda it: _redact(model, it), docs.schema)
+    return docs.mapInArrow(lambda it: tidied(_redact(model, it)), docs.schema)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import slices, text_of
+from voltframe.llm.common import free_name, slices, text_of, tidied
 from voltframe.llm.labelled import crc_remainder, sampled_labels
 
 DIMENSIONS = 1 << 31
@@ -200,12 +200,13 @@ def _keep(machine: Machine, columns: list[str], batches: Iterator[pa.RecordBatch
     for batch in slices(batches):
         slots, starts = _flat(batch.column(batch.num_columns - 1))
         kept = batch.filter(pa.array(machine.scores(slots, starts) < REJECT_AT))
-        yield kept.select(columns)
+        yield kept.select(list(range(len(columns))))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the machine does not call toxic, with all their columns."""
     machine = train(docs, labels, held_out_fold())
     columns = docs.columns
-    rows = docs.withColumn("_slots", terms(text_of("text")))
-    return rows.mapInArrow(lambda it: _keep(machine, columns, it), docs.schema)
+    # The terms come last and are found by place, so that no column's name can clash.
+    rows = docs.select("*", terms(text_of("text")).alias(free_name("slots", columns)))
+    return rows.mapInArrow(lambda it: tidied(_keep(machine, columns, it)), docs.schema)
