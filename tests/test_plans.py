@@ -80,8 +80,9 @@ def test_geo_left_join_chain_adds_no_exchange(spark, landed):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_full_outer_on_coalesced_keys_is_not_nested_loop(spark, landed):
+def test_full_outer_on_coalesced_keys_is_one_aggregation(spark, landed):
     df = V.additions_vs_retirements_geo(landed)
     text = plan(df)
-    assert "BroadcastNestedLoopJoin" not in text
-    assert "FullOuter" in text
+    assert "FullOuter" not in text and "NestedLoopJoin" not in text and "CartesianProduct" not in text
+    # Retirements and both proposal rollups meet in one union below one final aggregation.
+    assert "first(proposed_storage_mw_recent" in text
