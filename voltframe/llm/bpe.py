@@ -333,10 +333,12 @@ def _digest_batches(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
     """Encoding and decoding with one codec; only digests leave the task."""
     codec = Codec(load_vocabulary(path))
     digest = lambda raw: hashlib.sha256(raw).hexdigest()
+    tokens = np.array([t.encode() for t in codec.tokens], object)
+    decoded = lambda ids: b" ".join(tokens[np.frombuffer(ids, "<u4")].tolist())  # noqa: E731  as Codec.decode()
     for batch in _encode_batches(path, batches, codec):
         ids = [x.as_py() or b"" for x in batch.column(2)]
         yield pa.record_batch([batch.column(0), batch.column(1), pa.array(map(digest, ids), pa.string()),
-                               pa.array((digest(codec.decode(x).encode()) for x in ids), pa.string())],
+                               pa.array((digest(decoded(x)) for x in ids), pa.string())],
                               names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
