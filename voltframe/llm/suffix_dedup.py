@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import slices, staged, text_of
+from voltframe.llm.common import slices, staged, text_of, tidied
 from voltframe.llm.induced import common_prefixes, suffix_array, words_at
 
 LENGTH = 50
@@ -169,6 +169,11 @@ def _shared(buckets: int, table: pa.Table) -> pa.Table:
     return pa.table({"bucket": table["bucket"].slice(0, 1), "bits": pa.array([np.packbits(held).tobytes()])})
 
 
+def _heads(ordered: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate((np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1])))
+
+
 def _places(held, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Places of segments with shared anchors; the earliest of equal segments in a block carries the bytes."""
     filters, bits = held.value, _slice_bits(buckets)
@@ -188,14 +193,16 @@ def _places(held, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[p
             doc, key = ids[rows[piece]], keys[rows[piece]]
             at = a - np.concatenate(([0], ends))[piece] + offsets[piece]
             order = np.lexsort((doc, content))
-            first = np.zeros(len(order), bool)
-            first[order[np.concatenate(([True], content[order][1:] != content[order][:-1]))]] = True
+            heads = _heads(content[order])
+            first, last = np.zeros(len(order), bool), np.zeros(len(order), np.int64)
+            first[order[heads]] = True
+            last[order[heads]] = doc[order[np.append(heads[1:], len(order)) - 1]]
             raw = block.tobytes()
             own = [raw[x:y] if f else None for x, y, f in zip(a.tolist(), b.tolist(), first.tolist())]
             yield pa.record_batch(
                 [pa.array(content), pa.array(doc, pa.int64()), pa.array(key, pa.int64()), pa.array(at, pa.int64()),
-                 pa.array(anchor.view(np.int64), mask=~first), pa.array(own, pa.binary())],
-                names=["content", "doc_id", "row", "at", "anchor", "segment"])
+                 pa.array(anchor.view(np.int64), mask=~first), pa.array(last, mask=~first), pa.array(own, pa.binary())],
+                names=["content", "doc_id", "row", "at", "anchor", "last_doc", "segment"])
 
 
 def first_documents(parts: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
@@ -219,15 +226,18 @@ def first_documents(parts: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
 
 
 def _pack(shards: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments with their hash and document, packed by shard; of equal segments the earliest document's."""
+    """Segments with their hash, first and last document, packed by shard; equal segments once."""
     import zstandard
     packer = zstandard.ZstdCompressor(level=3)
 
     def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held).combine_chunks()
         content, doc, anchor = (table[k].to_numpy() for k in ("content", "doc_id", "anchor"))
+        last = table["last_doc"].to_numpy().copy()
         order = np.lexsort((doc, content))
-        order = order[np.concatenate(([True], content[order][1:] != content[order][:-1]))]
+        heads = _heads(content[order])
+        last[order[heads]] = np.maximum.reduceat(last[order], heads)
+        order = order[heads]
         shard = (_mixed(anchor[order].view(np.uint64)) % np.uint64(shards)).astype(np.int64)
         order, shard = order[np.argsort(shard, kind="stable")], np.sort(shard)
         segment = table["segment"].combine_chunks()
@@ -238,7 +248,7 @@ def _pack(shards: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         for x, y in zip(np.concatenate(([0], cuts)), np.append(cuts, len(order))):
             own = order[x:y]
             out.append((int(shard[x]), len(own), packer.compress(b"".join([
-                content[own].tobytes(), doc[own].tobytes(), (starts[own + 1] - starts[own]).astype(np.int64).tobytes(),
+                content[own].tobytes(), doc[own].tobytes(), last[own].tobytes(), (starts[own + 1] - starts[own]).astype(np.int64).tobytes(),
                 *(raw[p:q] for p, q in zip(starts[own].tolist(), starts[own + 1].tolist()))]))))
         return pa.record_batch([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()),
                                 pa.array([r[2] for r in out], pa.binary())], names=["shard", "n", "packed"])
@@ -254,44 +264,51 @@ def _pack(shards: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield packed(held)
 
 
-def _unpack(n: int, data: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def _unpack(n: int, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
     import zstandard
     raw = zstandard.ZstdDecompressor().decompress(data)
-    content, doc, sizes = (np.frombuffer(raw, np.int64, n, 8 * n * k) for k in range(3))
-    ends = 24 * n + np.cumsum(sizes)
-    return content, doc, [raw[e - s:e] for e, s in zip(ends.tolist(), sizes.tolist())]
+    content, doc, last, sizes = (np.frombuffer(raw, np.int64, n, 8 * n * k) for k in range(4))
+    ends = 32 * n + np.cumsum(sizes)
+    return content, doc, last, [raw[e - s:e] for e, s in zip(ends.tolist(), sizes.tolist())]
 
 
 def _classes(table: pa.Table) -> pa.Table:
-    """(content, from_window, to_window, first_doc) of one shard's distinct segments."""
+    """(content, from_window, to_window, first_doc) of one shard's distinct segments, where a later document has them."""
     blobs = [_unpack(n.as_py(), p.as_py()) for n, p in zip(table["n"], table["packed"])]
-    content, doc = (np.concatenate([b[k] for b in blobs]) for k in (0, 1))
-    segments_ = [s for b in blobs for s in b[2]]
+    content, doc, last = (np.concatenate([b[k] for b in blobs]) for k in (0, 1, 2))
+    segments_ = [s for b in blobs for s in b[3]]
     order = np.lexsort((doc, content))
-    new = np.concatenate(([True], content[order][1:] != content[order][:-1]))
-    first = order[new]
-    head = first[np.cumsum(new) - 1]
+    heads = _heads(content[order])
+    first = order[heads]
+    head = np.repeat(first, np.diff(np.append(heads, len(order))))
     if any(segments_[k] != segments_[h] for k, h in zip(order, head)):
         raise RuntimeError("two different segments share a 64-bit hash")
-    parts = [segments_[k] for k in first]
-    out = []
-    for c, windows in zip(content[first], first_documents(parts, doc[first])):
-        cuts = np.flatnonzero(windows[1:] != windows[:-1]) + 1
-        for x, y in zip(np.concatenate(([0], cuts)), np.append(cuts, len(windows))):
-            out.append((c, x, y - 1, windows[x]))
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64())
-    return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
+    last = np.maximum.reduceat(last[order], heads)
+    windows = first_documents([segments_[k] for k in first], doc[first])
+    sizes = np.array([len(w) for w in windows], np.int64)
+    flat, owner = np.concatenate(windows), np.repeat(np.arange(len(windows)), sizes)
+    begins = np.cumsum(sizes) - sizes
+    run = np.flatnonzero(np.concatenate(([True], (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1]))))
+    run_end = np.append(run[1:], len(flat)) - 1
+    # A run that no document after its first has takes nothing from anyone.
+    later = flat[run] < last[owner[run]]
+    run, run_end = run[later], run_end[later]
+    of = owner[run]
+    return pa.table([pa.array(content[first][of]), pa.array((run - begins[of]).astype(np.int32)),
+                     pa.array((run_end - begins[of]).astype(np.int32)), pa.array(flat[run])],
                     names=["content", "from_window", "to_window", "first_doc"])
 
 
-def _merged(spans: list[dict]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for a, b in sorted((s["a"], s["b"]) for s in spans):
+def _merged(spans: list[int]) -> list[tuple[int, int]]:
+    """Disjoint spans, ascending, from spans whose start and end are the halves of a number."""
+    out: list[tuple[int, int]] = []
+    for span in sorted(spans):
+        a, b = span >> 32, span & 0xFFFFFFFF
         if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
+            out[-1] = (out[-1][0], max(out[-1][1], b))
         else:
-            out.append([a, b])
-    return [tuple(x) for x in out]
+            out.append((a, b))
+    return out
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,7 +330,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """(row, spans): byte spans to remove of each row that loses any; see :func:`_keyed` for ``row``."""
+    """(doc_id, row, spans): byte spans to remove of each row that loses any, start and end as halves of a long."""
     spark = docs.sparkSession
     rows = _keyed(docs).where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -326,34 +343,35 @@ def spans(docs: DataFrame) -> DataFrame:
         filters[bucket * stride:bucket * stride + len(bits)] = np.frombuffer(bits, np.uint8)
     held = spark.sparkContext.broadcast(filters)
     places = staged(rows.select("doc_id", "row", "text").mapInArrow(
-        lambda it: _places(held, buckets, it),
-        "content bigint, doc_id bigint, row bigint, at bigint, anchor bigint, segment binary"), "suffix-places")
+        lambda it: tidied(_places(held, buckets, it)),
+        "content bigint, doc_id bigint, row bigint, at bigint, anchor bigint, last_doc bigint, segment binary"),
+        "suffix-places")
     held.unpersist()
     own = places.where("segment is not null")
     size = own.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    packed = own.select("content", "doc_id", "anchor", "segment").mapInArrow(
-        lambda it: _pack(shards, it), "shard bigint, n bigint, packed binary")
+    packed = own.select("content", "doc_id", "anchor", "last_doc", "segment").mapInArrow(
+        lambda it: tidied(_pack(shards, it)), "shard bigint, n bigint, packed binary")
     classes = staged(packed.groupBy("shard").applyInArrow(
         _classes, "content bigint, from_window int, to_window int, first_doc bigint"), "suffix-classes")
     # Both sides are written tables: a segment that very many documents have is a skewed join, which Spark splits.
+    start, end = F.col("at") + F.col("from_window"), F.col("at") + F.col("to_window") + LENGTH
     found = (places.select("content", "doc_id", "row", "at").join(classes, "content").where("first_doc < doc_id")
-             .select("row", F.struct((F.col("at") + F.col("from_window")).cast("int").alias("a"),
-                                     (F.col("at") + F.col("to_window") + LENGTH).cast("int").alias("b")).alias("s")))
-    return found.groupBy("row").agg(F.collect_list("s").alias("spans"))
+             .select("doc_id", "row", F.shiftleft(start, 32).bitwiseOR(end).alias("span")))
+    return found.groupBy("doc_id", "row").agg(F.collect_list("span").alias("spans"))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text and ``row``, 64 bits that tell rows apart that repeat a doc_id."""
+    """doc_id, text and ``row``, which together with doc_id tells rows apart: 64 bits among rows of one doc_id."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of("text").alias("text"))
     return rows.withColumn("row", F.xxhash64("doc_id", "text"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the bytes that stay (``kept``) of every row."""
-    joined = _keyed(docs).join(staged(spans(docs), "suffix-spans"), "row", "left")
+    joined = _keyed(docs).join(staged(spans(docs), "suffix-spans"), ["doc_id", "row"], "left")
     return joined.select("doc_id", "text", "spans").mapInArrow(
-        _cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+        lambda it: tidied(_cut(it)), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
 def digests(docs: DataFrame) -> DataFrame:
