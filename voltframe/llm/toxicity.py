@@ -10,9 +10,11 @@ pass over the terms.
 The machine is fitted with AdaGrad on a bounded sample (``PER_CLASS`` documents of
 each class at most; fewer labelled rows are all used), whose classes are weighed
 back to their shares.  A term whose link with the label in the sample can be chance
-(likelihood ratio, corrected for the number of terms) gets no weight: rare words
-are not learned by heart, and the model's size is bounded by the sample.  Scoring
-covers every whole text.
+(likelihood ratio, corrected for the number of terms) is kept only for its pairs: if
+it is frequent (``FREQUENT``) and its presence together with another frequent term
+is linked with the label by more than chance (corrected for the number of pairs).
+Rare words are not learned by heart, and the model's size is bounded by the sample.
+Scoring covers every whole text.
 
 Defined results: null and empty text have no terms and score the bias; documents
 that repeat a doc_id are scored each, and count once in training; without any
@@ -37,6 +39,12 @@ DIMENSIONS = 1 << 31
 STEM = 4
 #: Times the logarithm of the number of terms that a likelihood ratio must exceed.
 CHANCE = 1.4
+#: Share of the sample's documents that must have a term for its pairs to be tested.
+FREQUENT = 0.02
+#: The same as ``CHANCE`` for pairs: at twice the logarithm less than one pair in all passes by chance.
+PAIR_CHANCE = 2.0
+#: Terms whose pairs are counted at once (a matrix of this width by the sample).
+PAIR_TERMS = 512
 FACTORS = 4
 PER_CLASS = 10_000
 EPOCHS = 8
@@ -91,22 +99,57 @@ def constant(share: float) -> Machine:
                    np.zeros((1, FACTORS), np.float32))
 
 
+def likelihood_ratio(n: np.ndarray, ones: np.ndarray, share: float) -> np.ndarray:
+    """How much better ``ones`` of ``n`` documents are explained by a share of their own than by ``share``."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return 2 * (np.where(ones > 0, ones * np.log(ones / (n * share)), 0.0)
+                    + np.where(n > ones, (n - ones) * np.log((n - ones) / (n * (1 - share))), 0.0))
+
+
 def linked(owner: np.ndarray, slots: np.ndarray, n_slots: int, labels: np.ndarray) -> np.ndarray:
     """Which slots' counts of documents of label 1 differ from their share by more than chance."""
     n = np.bincount(slots, minlength=n_slots).astype(float)
     ones = np.bincount(slots, labels[owner], n_slots)
-    share = labels.mean()
-    with np.errstate(divide="ignore", invalid="ignore"):
-        ratio = 2 * (np.where(ones > 0, ones * np.log(ones / (n * share)), 0.0)
-                     + np.where(n > ones, (n - ones) * np.log((n - ones) / (n * (1 - share))), 0.0))
-    return ratio > CHANCE * np.log(max(2, n_slots))
+    return likelihood_ratio(n, ones, labels.mean()) > CHANCE * np.log(max(2, n_slots))
+
+
+def paired(owner: np.ndarray, slots: np.ndarray, n_slots: int, labels: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which of the frequent slots ``among`` are linked with the label together with another of them."""
+    n = np.bincount(slots, minlength=n_slots)
+    chosen = np.flatnonzero(among & (n >= max(2, FREQUENT * len(labels))))
+    out = np.zeros(n_slots, bool)
+    if len(chosen) < 2:
+        return out
+    order = np.argsort(slots, kind="stable")
+    by_slot, ends = owner[order], np.cumsum(n)
+
+    def block(at: int) -> np.ndarray:
+        terms_ = chosen[at:at + PAIR_TERMS]
+        held = np.zeros((len(labels), len(terms_)), np.float32)
+        for k, t in enumerate(terms_):
+            held[by_slot[ends[t] - n[t]:ends[t]], k] = 1
+        return held
+
+    bound = PAIR_CHANCE * np.log(len(chosen) * (len(chosen) - 1) / 2 + 1)
+    toxic = labels.astype(np.float32)[:, None]
+    for i in range(0, len(chosen), PAIR_TERMS):
+        left = block(i)
+        for j in range(i, len(chosen), PAIR_TERMS):
+            right = block(j) if j > i else left
+            hit = likelihood_ratio(left.T @ right, left.T @ (right * toxic), labels.mean()) > bound
+            if i == j:
+                np.fill_diagonal(hit, False)
+            out[chosen[i:i + PAIR_TERMS][hit.any(1)]] = True
+            out[chosen[j:j + PAIR_TERMS][hit.any(0)]] = True
+    return out
 
 
 def fit(slots: np.ndarray, starts: np.ndarray, labels: np.ndarray, importance: np.ndarray) -> Machine:
-    """AdaGrad on the weighted log loss over the slots that are linked with the label."""
+    """AdaGrad on the weighted log loss over the slots that are linked with the label, alone or in a pair."""
     seen, slots = np.unique(slots, return_inverse=True)
     owner = np.repeat(np.arange(len(labels)), np.diff(starts))
     enough = linked(owner, slots, len(seen), labels)
+    enough |= paired(owner, slots, len(seen), labels, ~enough)
     keep = enough[slots]
     place = np.cumsum(enough) - 1
     kept_before = np.concatenate(([0], np.cumsum(keep)))
