@@ -98,15 +98,39 @@ def test_keep_one_with_clashing_names(spark, documents):
     assert got.columns == df.columns and sorted(map(str, (r.doc_id for r in got.collect()))) == ["1", "3", "4", "None"]
 
 
-def test_parts_of_the_pipeline_are_few_and_enough():
-    """A set's parts stay near its most differences, and rarely more than the spare ones are empty."""
+@pytest.mark.parametrize("p,q", [(4, 5), (9, 10), (2, 3)])
+def test_linked_sets_share_a_first_gram(p, q):
+    """Whatever the table of counts says, and at the very edge of a link."""
     import numpy as np
-    threshold, rng = jaccard_join.Threshold(4, 5), np.random.default_rng(1)
-    starts = threshold.classes(400)
-    for a, b in zip(starts[:-1], starts[1:]):
-        parts, spare = threshold.parts(int(a), int(b))
-        assert parts - spare == threshold.differences(int(b) - 1, int(b) - 1) + 1
-        if a >= 60:
-            assert parts <= 0.62 * b + 12
-            empty = [parts - len(np.unique(rng.integers(0, parts, int(a)))) for _ in range(300)]
-            assert np.mean(np.array(empty) > spare) < 0.01
+    threshold, rng = Threshold(p, q), np.random.default_rng(p)
+    for size in [*range(threshold.least_size, 60), 333]:
+        counts = rng.integers(0, 3, jaccard_join.CELLS).astype(np.uint32)
+        a = np.unique(rng.integers(-2**62, 2**62, size))
+        least = -(-p * len(a) // q)  # a subset of this size still links
+        for b in (rng.choice(a, least, replace=False),
+                  np.append(rng.choice(a, threshold.overlap(len(a), len(a)), replace=False),
+                            rng.integers(-2**62, 2**62, len(a) - threshold.overlap(len(a), len(a))))):
+            assert q * len(np.intersect1d(a, b)) >= p * len(np.union1d(a, b))
+            first = [jaccard_join.first_grams(np.unique(x), threshold, counts) for x in (a, b)]
+            assert len(np.intersect1d(*first))
+
+
+def test_ties_hold_over_ranges_of_sizes_and_batches():
+    """Sets of one n-gram are tied as long as sizes hang together, wherever a batch ends."""
+    import numpy as np
+    import pyarrow as pa
+    rows = [(1, 10, 30, 100), (1, 12, 12, 101), (1, 33, 33, 102), (1, 60, 60, 103), (1, 62, 70, 104), (2, 62, 62, 105)]
+    for size in (1, 2, 6):
+        batches = [pa.record_batch([pa.array(c) for c in zip(*rows[k:k + size])], names=["sign", "lo", "hi", "set_id"])
+                   for k in range(0, len(rows), size)]
+        got = np.concatenate([np.stack([c.to_numpy() for c in b.columns], 1)
+                              for b in jaccard_join._share(Threshold(9, 10), iter(batches))])
+        assert sorted(map(tuple, got.tolist())) == [(100, 101), (100, 102), (103, 104)]
+
+
+def test_table_of_counts_adds_up(spark, documents):
+    rows = [(1, "a b c d"), (2, "a b c d"), (3, "b c d e f"), (4, None)]
+    known = jaccard_join.with_shingles(documents(rows), 3, "doc_id").repartition(3).mapInArrow(
+        jaccard_join._identify, "doc_id bigint, n_shingles bigint, set_id bigint, proof bigint, counts binary")
+    counts = jaccard_join._counts(known)
+    assert sorted(counts[counts > 0].tolist()) == [1, 1, 2, 3] and len(counts) == jaccard_join.CELLS

@@ -4,13 +4,12 @@ A document is the set of its word n-grams, as 64-bit hashes.  Documents with the
 same set are one set from then on, known by 64 bits of a digest (64 more bits
 are compared, and a clash raises an error).
 
-*Candidates.*  Two sets that differ in at most D n-grams agree completely in one of
-D + 1 parts of the hash space, so each set emits a signature per part.  D follows
-from the sizes; sizes are cut into classes such that linked sets lie in the same
-class or in neighbours, and a set signs for its own and the next class.  Some more
-parts than D + 1 make up for parts without n-grams; sets with very many empty
-parts sign those as well, so no link is lost.  Signatures that two sets share make
-coarse groups, which hold few sets apart from real near copies.
+*Candidates.*  All n-grams have one order, rare ones first by a table of counts of
+fixed size (``CELLS``; any order is exact, a good one is fast).  Two linked sets
+share one of their first n-grams, as many as the smaller partner of a link may
+lack, plus one.  So each set is listed under those; sets of one list whose sizes
+can link, directly or over sizes between, are tied, and ties make coarse groups,
+which hold few sets apart from real near copies.
 
 *Links.*  A coarse group is compared class by class, large ones in blocks of
 ``BLOCK_SETS`` and pairs of blocks.  Inside a block the index lists of n-grams are
@@ -19,8 +18,8 @@ positions cannot reach the overlap any more.  If nothing is found, it has no
 links.  Otherwise its overlaps with all other sets are derived from the answers of
 the set before it: only lists of n-grams in which the two differ are read.
 
-Rows are deduplicated and linked inside a batch before they are shuffled, so a
-very common signature costs a row a batch.  All links are verified on whole sets;
+Rows are deduplicated and tied inside a batch before they are shuffled, so a
+very common n-gram costs a row a batch and range of sizes.  All links are verified on whole sets;
 links between different texts are counted, copies share one set.
 
 Defined results: null text, or text without words, is an empty set, linked with
@@ -34,7 +33,6 @@ doc_id and text are read.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,6 +48,9 @@ from voltframe.llm.components import components
 BLOCK_SETS = 600
 #: Rows whose shingles and signatures are made side by side.
 SLICE_ROWS = 2048
+#: Cells of the table of n-gram counts (16 MB, sent to every executor), and parts in which it is added up.
+CELLS = 1 << 22
+CELL_SLICES = 64
 
 
 @dataclass(frozen=True)
@@ -71,26 +72,13 @@ class Threshold:
             starts.append(self.q * (starts[-1] - 1) // self.p + 1)
         return np.array([*starts, self.q * (starts[-1] - 1) // self.p + 1], np.int64)
 
-    def differences(self, a: int, b: int) -> int:
-        """Most n-grams in which linked sets of these sizes differ."""
-        return (self.q - self.p) * (a + b) // (self.q + self.p)
-
     def overlap(self, a: int, b: int | np.ndarray) -> int | np.ndarray:
         """Fewest common n-grams of linked sets of these sizes."""
         return -(-self.p * (a + b) // (self.q + self.p))
 
-    def parts(self, start: int, end: int) -> tuple[int, int]:
-        """Number of parts for the class of sizes ``start`` to ``end - 1``, and how many may be empty."""
-        needed = self.differences(end - 1, end - 1) + 1
-        spare = 1
-        while True:
-            # Mean and variance of the number of empty parts when n-grams fall into parts at random.
-            fill = start * self.p / self.q / (needed + spare)
-            empty = (needed + spare) * math.exp(-fill)
-            variance = empty * (1 - (1 + fill) * math.exp(-fill))
-            if spare >= empty + 6 * math.sqrt(variance) + 1 or spare > 4 * needed:
-                return needed + spare, spare
-            spare += 1
+    def prefix(self, size: int) -> int:
+        """How many of a set's first n-grams must be looked at: one more than a link lets it lack."""
+        return size + self.p * -size // self.q + 1
 
 
 def shingles(text: Column, words: int) -> tuple[Column, Column]:
@@ -124,11 +112,59 @@ def _identity(grams: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
+def _cells(mixed: np.ndarray) -> np.ndarray:
+    return (mixed & np.uint64(CELLS - 1)).astype(np.int64)
+
+
 def _identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row's set; at the end of a task its n-grams' counts by cell, in slices named by ``set_id``."""
+    names = ["doc_id", "n_shingles", "set_id", "proof", "counts"]
+    counted = np.zeros(CELLS, np.uint32)
     for batch in slices(batches, SLICE_ROWS):
-        rows = [(len(s), *_identity(s)) for s in _sets(batch.column(1))]
-        columns = [pa.array(c, pa.int64()) for c in zip(*rows)] or [pa.array([], pa.int64())] * 3
-        yield pa.record_batch([batch.column(0), *columns], names=["doc_id", "n_shingles", "set_id", "proof"])
+        sets = list(_sets(batch.column(1)))
+        if not sets:
+            continue
+        np.add.at(counted, _cells(_mix(np.concatenate(sets).view(np.uint64))), np.uint32(1))
+        columns = [pa.array(c, pa.int64()) for c in zip(*[(len(s), *_identity(s)) for s in sets])]
+        yield pa.record_batch([batch.column(0), *columns, pa.nulls(len(sets), pa.binary())], names=names)
+    parts = [(k, _packed(part)) for k, part in enumerate(np.split(counted, CELL_SLICES)) if part.any()]
+    none = pa.nulls(len(parts), pa.int64())
+    yield pa.record_batch([none, none, pa.array([k for k, _ in parts], pa.int64()), none,
+                           pa.array([data for _, data in parts], pa.binary())], names=names)
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    import zstandard
+    return zstandard.ZstdCompressor(level=1).compress(counts.astype(np.uint32).tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    import zstandard
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint32)
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of the counts of each slice; rows come dealt by slice and are added one by one."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for k, data in zip(*batch.columns):
+            own = sums.setdefault(k.as_py(), np.zeros(CELLS // CELL_SLICES, np.uint64))
+            own += _unpacked(data.as_py())
+    limit = np.uint64((1 << 32) - 1)
+    yield pa.record_batch([pa.array(list(sums), pa.int64()),
+                           pa.array([_packed(np.minimum(x, limit)) for x in sums.values()], pa.binary())],
+                          names=["slice", "counts"])
+
+
+def _counts(known: DataFrame) -> np.ndarray:
+    """The table of counts: CELLS numbers, whatever the corpus."""
+    parts = (known.where("counts is not null").select(F.col("set_id").alias("slice"), "counts")
+             .repartition("slice").mapInArrow(_added, "slice bigint, counts binary"))
+    table = np.zeros(CELLS, np.uint32)
+    width = CELLS // CELL_SLICES
+    for k, data in parts.collect():  # CELL_SLICES rows
+        table[k * width:(k + 1) * width] = _unpacked(data)
+    return table
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,61 +183,58 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def signatures(grams: np.ndarray, threshold: Threshold, starts: np.ndarray) -> np.ndarray:
-    """Signatures of a set for its own and the next size class."""
+def first_grams(grams: np.ndarray, threshold: Threshold, counts: np.ndarray) -> np.ndarray:
+    """A set's first n-grams in the order of all n-grams: rarer cells first, then by their mixed bits."""
     mixed = _mix(grams.view(np.uint64))
-    own = int(np.searchsorted(starts, len(grams), side="right")) - 1
-    out = []
-    for k in (own, own + 1):
-        parts, may_be_empty = threshold.parts(int(starts[k]), int(starts[k + 1]))
-        part = (mixed >> np.uint64(3)) % np.uint64(parts)
-        order = np.argsort(part, kind="stable")
-        used, first = np.unique(part[order], return_index=True)
-        sums = np.add.reduceat(mixed[order], first)
-        place = used + np.uint64(k << 32)
-        out.append(_mix(sums + _mix(place)))
-        if parts - len(used) > may_be_empty:
-            empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), used)
-            out.append(_mix(_mix(empty + np.uint64(k << 32)) + np.uint64(0x9E3779B97F4A7C15)))
-    return np.concatenate(out).view(np.int64)
-
-
-def _sign(threshold: Threshold, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return grams[np.lexsort((mixed, counts[_cells(mixed)]))[:threshold.prefix(len(grams))]]
+
+
+def _sign(threshold: Threshold, held, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sign, lo, hi, set_id): under an n-gram, a set for each range of sizes that hang together in the slice."""
+    counts = held.value
     for batch in slices(batches, SLICE_ROWS):
         sets = {_identity(s)[0]: s for s in _sets(batch.column(0)) if len(s) >= threshold.least_size}
         if not sets:
             continue
-        starts = threshold.classes(max(map(len, sets.values())) + 1)
-        starts = np.append(starts, threshold.q * (starts[-1] - 1) // threshold.p + 1)
-        signs = [signatures(s, threshold, starts) for s in sets.values()]
-        sign = np.concatenate(signs)
-        owner = np.repeat(np.fromiter(sets, np.int64, len(sets)), [len(x) for x in signs])
-        order = np.lexsort((owner, sign))
+        ids = np.fromiter(sets, np.int64, len(sets))
+        sizes = np.array([len(s) for s in sets.values()], np.int64)
+        signs = [first_grams(s, threshold, counts) for s in sets.values()]
+        sign, owner = np.concatenate(signs), np.repeat(np.arange(len(ids)), [len(x) for x in signs])
+        order = np.lexsort((owner, sizes[owner], sign))
         sign, owner = sign[order], owner[order]
-        first = np.concatenate(([True], sign[1:] != sign[:-1]))
-        head = owner[np.flatnonzero(first)[np.cumsum(first) - 1]]
-        # The first set of each signature goes on under it; the others are tied to that set once.
-        ties = np.unique(np.stack([head[~first], owner[~first]], 1), axis=0)
+        size = sizes[owner]
+        first = np.concatenate(([True], (sign[1:] != sign[:-1]) | (size[1:] * threshold.p > size[:-1] * threshold.q)))
+        at = np.flatnonzero(first)
+        head = ids[owner[at[np.cumsum(first) - 1]]]
+        # The first set of a range goes on for all of it; the others are tied to that set once.
+        ties = np.unique(np.stack([head[~first], ids[owner[~first]]], 1), axis=0)
         ties = ties[ties[:, 0] != ties[:, 1]]
         tie = _mix(_mix(ties[:, 0].view(np.uint64)) + ties[:, 1].view(np.uint64)).view(np.int64)
-        yield pa.record_batch([pa.array(np.concatenate([sign[first], tie, tie])),
-                               pa.array(np.concatenate([owner[first], ties[:, 0], ties[:, 1]]))],
-                              names=["sign", "set_id"])
+        one = np.ones(2 * len(tie), np.int64)
+        yield pa.record_batch([pa.array(np.concatenate([sign[at], tie, tie])), pa.array(np.concatenate([size[at], one])),
+                               pa.array(np.concatenate([size[np.append(at[1:], len(size)) - 1], one])),
+                               pa.array(np.concatenate([ids[owner[at]], ties[:, 0], ties[:, 1]]))],
+                              names=["sign", "lo", "hi", "set_id"])
 
 
-def _share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges between the first set of a signature and the others, from rows ordered by signature."""
-    last_sign = last_head = None
+def _share(threshold: Threshold, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ties of sets under one n-gram whose ranges of sizes hang together, from rows ordered by n-gram and size."""
+    last_sign, last_hi, last_head = None, 0, 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        sign, owner = (c.to_numpy() for c in batch.columns)
-        first = np.concatenate(([sign[0] != last_sign], sign[1:] != sign[:-1]))
-        run = np.cumsum(first)
-        heads = np.concatenate(([0 if last_head is None else last_head], owner[first]))
-        head = heads[run]
+        sign, lo, hi, owner = (c.to_numpy() for c in batch.columns)
+        new = np.concatenate(([sign[0] != last_sign], sign[1:] != sign[:-1]))
+        hi = hi.copy()
+        if not new[0]:
+            hi[0] = max(hi[0], last_hi)
+        above = np.cumsum(new) << 40  # the largest size so far under the same n-gram
+        reach = np.maximum.accumulate(above + hi) - above
+        before = np.concatenate(([last_hi], reach[:-1]))
+        first = new | (lo * threshold.p > before * threshold.q)
+        head = np.concatenate(([last_head], owner[first]))[np.cumsum(first)]
         edges = np.unique(np.stack([head, owner], 1)[head != owner], axis=0)
-        last_sign, last_head = sign[-1], head[-1]
+        last_sign, last_hi, last_head = sign[-1], reach[-1], head[-1]
         yield pa.record_batch([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["u", "v"])
 
 
@@ -329,17 +362,23 @@ def join(docs: DataFrame, words: int = 3, threshold: Threshold = Threshold(9, 10
     """doc_id, n_shingles, component_id (smallest linked doc_id) and n_links (other documents linked directly)."""
     rows = with_shingles(docs, words, "doc_id").select(F.col("doc_id").cast("bigint").alias("doc_id"), "grams")
     known = staged(rows.mapInArrow(
-        lambda it: tidied(_identify(it)), "doc_id bigint, n_shingles bigint, set_id bigint, proof bigint"), "jaccard-sets")
+        lambda it: tidied(_identify(it)),
+        "doc_id bigint, n_shingles bigint, set_id bigint, proof bigint, counts binary"), "jaccard-sets")
+    held = docs.sparkSession.sparkContext.broadcast(_counts(known))
+    known = known.where("counts is null").drop("counts")
     sets = staged(known.where("n_shingles > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"),
         F.min("n_shingles").alias("n_shingles"), F.min("proof").alias("proof"), F.max("proof").alias("proof_too")),
         "jaccard-distinct")
     if sets.where("proof <> proof_too").limit(1).count():
         raise RuntimeError("two different sets share 64 bits of their digests")
-    signed = rows.select("grams").mapInArrow(lambda it: tidied(_sign(threshold, it)), "sign bigint, set_id bigint")
-    # One shuffle by signature; the order inside a task lets it stream, whatever a signature's rows.
-    shared = signed.repartition("sign").sortWithinPartitions("sign", "set_id").mapInArrow(lambda it: tidied(_share(it)), "u bigint, v bigint")
+    signed = rows.select("grams").mapInArrow(
+        lambda it: tidied(_sign(threshold, held, it)), "sign bigint, lo bigint, hi bigint, set_id bigint")
+    # One shuffle by n-gram; the order inside a task lets it stream, whatever an n-gram's rows.
+    shared = signed.repartition("sign").sortWithinPartitions("sign", "lo").mapInArrow(
+        lambda it: tidied(_share(threshold, it)), "u bigint, v bigint")
     coarse = components(staged(shared.distinct(), "jaccard-shared"))
+    held.unpersist()
     groups = staged(sets.select("set_id", "doc_id", "copies", "n_shingles")
                     .join(coarse.withColumnRenamed("node", "set_id"), "set_id"), "jaccard-coarse")
     links = staged(_compared(docs, groups, threshold, words), "jaccard-links")
