@@ -44,7 +44,7 @@ FREQUENT = 0.02
 #: The same as ``CHANCE`` for pairs: at twice the logarithm less than one pair in all passes by chance.
 PAIR_CHANCE = 2.0
 #: Terms whose pairs are counted at once (a matrix of this width by the sample).
-PAIR_TERMS = 512
+PAIR_TERMS = 128
 FACTORS = 4
 PER_CLASS = 10_000
 EPOCHS = 8
@@ -120,8 +120,7 @@ def paired(owner: np.ndarray, slots: np.ndarray, n_slots: int, labels: np.ndarra
     out = np.zeros(n_slots, bool)
     if len(chosen) < 2:
         return out
-    order = np.argsort(slots, kind="stable")
-    by_slot, ends = owner[order], np.cumsum(n)
+    by_slot, ends = owner[np.argsort(slots, kind="stable")], np.cumsum(n)
 
     def block(at: int) -> np.ndarray:
         terms_ = chosen[at:at + PAIR_TERMS]
@@ -147,11 +146,13 @@ def paired(owner: np.ndarray, slots: np.ndarray, n_slots: int, labels: np.ndarra
 def fit(slots: np.ndarray, starts: np.ndarray, labels: np.ndarray, importance: np.ndarray) -> Machine:
     """AdaGrad on the weighted log loss over the slots that are linked with the label, alone or in a pair."""
     seen, slots = np.unique(slots, return_inverse=True)
-    owner = np.repeat(np.arange(len(labels)), np.diff(starts))
+    slots = slots.astype(np.int32)
+    owner = np.repeat(np.arange(len(labels), dtype=np.int32), np.diff(starts))
     enough = linked(owner, slots, len(seen), labels)
     enough |= paired(owner, slots, len(seen), labels, ~enough)
     keep = enough[slots]
-    place = np.cumsum(enough) - 1
+    place = np.cumsum(enough, dtype=np.int32) - 1
+    del owner
     kept_before = np.concatenate(([0], np.cumsum(keep)))
     starts, slots, seen = kept_before[starts], place[slots[keep]], seen[enough]
     share = float((labels * importance).sum() / importance.sum())
