@@ -30,9 +30,9 @@ from voltframe.llm.common import WORD_PATTERN, staged, text_of
 #: The standard error of a likeness s is sqrt(s (1 - s) / SAMPLES): 0.044 at 0.5 and 0.035 at 0.8.
 SAMPLES = 128
 #: Samples that one row draws; the results do not depend on it.
-BLOCK = 8
-#: The logarithm of a rank lies within +-64 and is kept in steps of 2 ** -24.
-_RANK = "cast(floor((greatest(least({x}, 63.9D), -63.9D) + 64D) * 16777216D) as bigint)"
+BLOCK = 16
+#: The logarithm of a rank lies within +-128 (c above 2 ** -48, r below 47, weights below 2 ** 40), kept in steps of 2 ** -23.
+_RANK = "cast(floor(({x} + 128D) * 8388608D) as bigint)"
 
 
 def _codes(text: Column, version: int) -> Column:
@@ -76,18 +76,18 @@ def weighted_terms(df: DataFrame, name: str, text: str, edited: str | None = Non
         versions(run, k).alias("versions")))).drop(hashes, ends, runs)
 
 
-def _sample(k: int) -> Column:
-    """Rank and identity of ``term`` at ``weight`` in draw ``k`` of ``block`` as one number, smaller for a smaller rank."""
-    draw = f"block * {BLOCK} + {k}"
-    one, two = f"xxhash64({draw}, term)", f"xxhash64({draw} + 1000003, term)"
-    u = lambda h, bits, low: (  # noqa: E731  `bits` bits of h from `low` up, as a number inside (0, 1)
-        f"((shiftrightunsigned({h}, {low}) & {(1 << bits) - 1}L) + 0.5D) / {float(1 << bits)}D")
-    r = f"(-ln({u(one, 32, 0)} * {u(one, 32, 32)}))"
-    c = f"(-ln({u(two, 24, 0)} * {u(two, 24, 24)}))"
-    b = f"({u(two, 16, 48)})"
+def _sample(draw: str) -> Column:
+    """Rank and identity of ``term`` at ``log_weight`` in a draw as one number, smaller for a smaller rank."""
+    one = f"xxhash64({draw}, term)"
+    two = f"xxhash64({one})"
+    bits = lambda h, n, low: f"((shiftrightunsigned({h}, {low}) & {(1 << n) - 1}L) + 0.5D)"
+    # Two uniform numbers inside (0, 1) give a gamma(2, 1) value: the logarithm of their product.
+    r = f"(-ln({bits(one, 32, 0)} * {bits(one, 32, 32)} * {2.0 ** -64}D))"
+    c = f"(-ln({bits(two, 24, 0)} * {bits(two, 24, 24)} * {2.0 ** -48}D))"
+    b = f"({bits(two, 16, 48)} * {2.0 ** -16}D)"
     t = f"floor(log_weight / {r} + {b})"
-    rank = _RANK.format(x=f"ln({c}) - {r} * ({t} - {b} + 1D)")
-    return F.expr(f"shiftleft({rank}, 32) | (xxhash64({two}, {t}) & 4294967295L)")
+    rank = _RANK.format(x=f"(ln({c}) - {r} * ({t} - {b} + 1D))")
+    return F.expr(f"shiftleft({rank}, 32) | (({one} ^ {t}) & 4294967295L)")
 
 
 def signatures(df: DataFrame, keys: list[str], terms: str, samples: int = SAMPLES) -> DataFrame:
@@ -102,7 +102,8 @@ def signatures(df: DataFrame, keys: list[str], terms: str, samples: int = SAMPLE
         *keys, F.col("_t.versions").alias("versions"), F.col("_t.term").alias("term"),
         F.ln(F.col("_t.weight").cast("double")).alias("log_weight"))
     rows = rows.withColumn("block", F.explode(F.array(*map(F.lit, blocks))))
-    drawn = rows.groupBy(*keys, "block", "versions").agg(*[F.min(_sample(k)).alias(f"s{k}") for k in range(width)])
+    drawn = rows.groupBy(*keys, "block", "versions").agg(*[
+        F.min(_sample(f"block * {BLOCK} + {k}")).alias(f"s{k}") for k in range(width)])
     drawn = drawn.select(*keys, "block", "versions", F.array(*[f"s{k}" for k in range(width)]).alias("drawn"))
     by_key = drawn.groupBy(*keys).agg(*[
         F.max(F.when((F.col("block") == b) & (F.col("versions") == v), F.col("drawn"))).alias(f"d{b}_{v}")
@@ -187,14 +188,21 @@ def fingerprint(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
         "doc_id", "text_sha256", F.col("own").alias("signature"))
 
 
+#: Short, because every draw is grouped by them; ``text_key`` tells apart texts of one doc_id.
+_KEYS = ["doc_id", "next_id", "n_chars", "text_key", "edited_key"]
+
+
+def _terms(rows: DataFrame) -> DataFrame:
+    """``_KEYS`` and the weighted terms of text and edited of each row."""
+    rows = rows.withColumns({
+        "n_chars": F.length("text").cast("bigint"), "text_key": F.xxhash64("text"),
+        "edited_key": F.unhex(F.sha2("edited", 256))})
+    return weighted_terms(rows, "terms", "text", "edited").select(*_KEYS, "terms")
+
+
 def _signed(rows: DataFrame, samples: int) -> DataFrame:
     """The signatures of text and edited of each row; partitioned by doc_id, the rows are not shuffled."""
-    rows = rows.withColumns({
-        "n_chars": F.length("text").cast("bigint"), "text_sha256": F.sha2("text", 256),
-        "edited_sha256": F.sha2("edited", 256)})
-    keys = ["doc_id", "next_id", "n_chars", "text_sha256", "edited_sha256"]
-    terms = weighted_terms(rows, "terms", "text", "edited").select(*keys, "terms")
-    return signatures(terms, keys, "terms", samples)
+    return signatures(_terms(rows), _KEYS, "terms", samples)
 
 
 def compare_with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
@@ -205,7 +213,7 @@ def compare_with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     following = pairs.groupBy(F.col("doc_id").alias("next_id")).agg(F.min("own").alias("next_own"))
     joined = pairs.join(following, "next_id", "left")
     return joined.select(
-        "doc_id", "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"),
+        "doc_id", "n_chars", F.lower(F.hex("edited_key")).alias("edited_sha256"), as_text(F.col("own")).alias("fingerprint"),
         as_text(F.col("edit")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("edit"), samples).alias("near_edited"),
         likeness(F.col("own"), F.col("next_own"), samples).alias("near_next"))
