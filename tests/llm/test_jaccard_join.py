@@ -134,3 +134,23 @@ def test_table_of_counts_adds_up(spark, documents):
         jaccard_join._identify, "doc_id bigint, n_shingles bigint, set_id bigint, proof bigint, counts binary")
     counts = jaccard_join._counts(known)
     assert sorted(counts[counts > 0].tolist()) == [1, 1, 2, 3] and len(counts) == jaccard_join.CELLS
+
+
+def test_long_sets_make_smaller_blocks_and_slices(spark, documents, monkeypatch):
+    import pyarrow as pa
+    column = pa.array([[1, 2, 3], [4], [], list(range(20)), [5, 6], [7]], pa.list_(pa.int64()))
+    batch = pa.record_batch([column], names=["grams"]).slice(1)
+    got = list(jaccard_join._few(iter([batch]), 0, 4))
+    assert [b.column(0).to_pylist() for b in got] == [[[4], []], [list(range(20))], [[5, 6], [7]]]
+    monkeypatch.setattr(jaccard_join, "BLOCK_GRAMS", 300)
+    monkeypatch.setattr(jaccard_join, "TIDY_GRAMS", 10)
+    largest, link = [], jaccard_join._compared
+
+    def spied(docs, groups, threshold, words):
+        largest.append(groups.count())
+        return link(docs, groups, threshold, words)
+
+    monkeypatch.setattr(jaccard_join, "_compared", spied)
+    rows = family(random.Random(3), 40, 140)
+    assert sorted(map(tuple, jaccard_join.join(documents(rows), 3, Threshold(9, 10)).collect())) == brute(rows, 3, 9, 10)
+    assert largest[0] * 140 > 4 * 300

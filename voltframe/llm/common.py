@@ -77,6 +77,11 @@ def free_name(name: str, columns: list[str]) -> str:
 def tidied(batches):
     """Batches of a task's end, after which freed memory goes back to the system: workers outlive their tasks."""
     yield from batches
+    release()
+
+
+def release() -> None:
+    """Gives freed memory back to the system."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

@@ -41,13 +41,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import WORD_PATTERN, broadcast_if_small, free_name, slices, staged, text_of, tidied
+from voltframe.llm.common import WORD_PATTERN, broadcast_if_small, free_name, release, staged, text_of, tidied
 from voltframe.llm.components import components
 
-#: Sets of a block of a coarse group that one task compares.
+#: Sets of a block of a coarse group that one task compares, and their n-grams: long sets make smaller blocks.
 BLOCK_SETS = 600
-#: Rows whose shingles and signatures are made side by side.
+BLOCK_GRAMS = 1 << 20
+#: Rows whose shingles and signatures are made side by side, and their n-grams.
 SLICE_ROWS = 2048
+SLICE_GRAMS = 1 << 18
+#: N-grams of a comparison after which a task returns its freed memory.
+TIDY_GRAMS = 1 << 17
 #: Cells of the table of n-gram counts (16 MB, sent to every executor), and parts in which it is added up.
 CELLS = 1 << 22
 CELL_SLICES = 64
@@ -99,6 +103,18 @@ def with_shingles(docs: DataFrame, words: int, *keep: str) -> DataFrame:
     return rows.select(*keep, grams.alias("grams"))
 
 
+def _few(batches: Iterator[pa.RecordBatch], column: int, grams: int) -> Iterator[pa.RecordBatch]:
+    """Slices of at most SLICE_ROWS rows with at most so many n-grams, or of one row."""
+    for batch in batches:
+        ends = batch.column(column).offsets.to_numpy()[1:]
+        at = 0
+        while at < batch.num_rows:
+            before = batch.column(column).offsets[at].as_py()
+            upto = min(max(int(np.searchsorted(ends, before + grams, side="right")), at + 1), at + SLICE_ROWS)
+            yield batch.slice(at, upto - at)
+            at = min(upto, batch.num_rows)
+
+
 def _sets(column: pa.Array) -> Iterator[np.ndarray]:
     """Ascending distinct hashes of each row."""
     starts = column.offsets.to_numpy()
@@ -120,7 +136,7 @@ def _identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row's set; at the end of a task its n-grams' counts by cell, in slices named by ``set_id``."""
     names = ["doc_id", "n_shingles", "set_id", "proof", "counts"]
     counted = np.zeros(CELLS, np.uint32)
-    for batch in slices(batches, SLICE_ROWS):
+    for batch in _few(batches, 1, SLICE_GRAMS):
         sets = list(_sets(batch.column(1)))
         if not sets:
             continue
@@ -169,7 +185,7 @@ def _counts(known: DataFrame) -> np.ndarray:
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row's set under its set_id."""
-    for batch in slices(batches, SLICE_ROWS):
+    for batch in _few(batches, 0, SLICE_GRAMS):
         sets = list(_sets(batch.column(0)))
         yield pa.record_batch([pa.array([_identity(s)[0] for s in sets], pa.int64()),
                                pa.array(sets, pa.list_(pa.int64()))], names=["set_id", "grams"])
@@ -192,7 +208,7 @@ def first_grams(grams: np.ndarray, threshold: Threshold, counts: np.ndarray) ->
 def _sign(threshold: Threshold, held, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(sign, lo, hi, set_id): under an n-gram, a set for each range of sizes that hang together in the slice."""
     counts = held.value
-    for batch in slices(batches, SLICE_ROWS):
+    for batch in _few(batches, 0, 4 * SLICE_GRAMS):  # larger: sets are tied inside a slice before they are shuffled
         sets = {_identity(s)[0]: s for s in _sets(batch.column(0)) if len(s) >= threshold.least_size}
         if not sets:
             continue
@@ -248,22 +264,25 @@ def block_links(sets: list[np.ndarray], threshold: Threshold) -> Iterator[tuple[
     """For each set that has any, the later ones (by size) that it links with.  ``sets`` ascend by size."""
     sizes = np.array([len(s) for s in sets], np.int64)
     grams = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
     names, codes, found = np.unique(grams, return_inverse=True, return_counts=True)
+    codes, n_names = codes.astype(np.int32), len(names)
+    del grams, names
     by_gram = np.argsort(codes, kind="stable")
     members = owner[by_gram]  # of each n-gram's list, ascending by size
     list_at = np.concatenate(([0], np.cumsum(found)))
     # Rare n-grams first; the prefix lists are ordered by position, so whole position blocks are skipped.
     bounds = np.concatenate(([0], np.cumsum(sizes)))
     order = np.lexsort((codes, found[codes], owner))
-    position = np.arange(len(codes)) - np.repeat(bounds[:-1], sizes)
+    position = (np.arange(len(codes)) - np.repeat(bounds[:-1], sizes)).astype(np.int32)
     needed = threshold.overlap(sizes, -(-sizes * threshold.p // threshold.q))
     in_prefix = position < np.repeat(sizes - needed + 1, sizes)
     p_code, p_owner, p_pos = codes[order][in_prefix], owner[order][in_prefix], position[in_prefix]
     by_position = np.lexsort((p_pos, p_code))
     p_code, p_list, p_pos = p_code[by_position], p_owner[by_position], p_pos[by_position]
-    p_at = np.searchsorted(p_code, np.arange(len(names) + 1))
+    p_at = np.searchsorted(p_code, np.arange(n_names + 1))
     p_key = p_code.astype(np.int64) << 32 | p_pos
+    del owner, by_gram, position, in_prefix, p_code, p_pos, by_position
     last, answers = np.empty(0, np.int64), np.zeros(len(sets), np.int64)
     for x in range(len(sets) - 1):
         upper = int(np.searchsorted(sizes, sizes[x] * threshold.q // threshold.p, side="right"))
@@ -323,6 +342,10 @@ def _link(threshold: Threshold, table: pa.Table) -> pa.Table:
         for y in linked:
             roots[root(int(y))] = root(x)
     some = np.flatnonzero(links)
+    large = len(values) > TIDY_GRAMS
+    del sets, values, column, table
+    if large:
+        release()
     return pa.table({"u": pa.array(ids[some]), "v": pa.array(ids[[root(int(k)) for k in some]], pa.int64()),
                      "n_links": pa.array(links[some])})
 
@@ -337,9 +360,10 @@ def _compared(docs: DataFrame, groups: DataFrame, threshold: Threshold, words: i
     placed = homes.withColumn("visits", F.lit(False)).unionAll(
         homes.withColumn("class", F.col("class") + 1).withColumn("visits", F.lit(True)))
     counts = placed.groupBy("component", "class").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("visits")).alias("n_home")).where("n > 1 and n_home > 0")
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("visits")).alias("n_home"),
+        F.sum("n_shingles").alias("n_grams")).where("n > 1 and n_home > 0")
     placed = placed.join(staged(counts, "jaccard-classes"), ["component", "class"])
-    blocks = F.ceil(F.col("n") / BLOCK_SETS).cast("int")
+    blocks = F.ceil(F.least(F.greatest(F.col("n") / BLOCK_SETS, F.col("n_grams") / BLOCK_GRAMS), F.col("n"))).cast("int")
     placed = (placed.withColumn("blocks", blocks)
               .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
