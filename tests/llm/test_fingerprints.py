@@ -70,3 +70,33 @@ def test_edited_signature_is_that_of_the_text_alone(spark, documents):
     assert {r["doc_id"]: list(r["edit"]) for r in both} == alone
     own = {r["doc_id"]: list(r["signature"]) for r in fingerprints.fingerprint(documents(rows)).collect()}
     assert {r["doc_id"]: list(r["own"]) for r in both} == own
+
+
+def test_ranks_out_of_reach_change_no_sample(spark, documents, monkeypatch):
+    """Most ranks are not worked out; the samples are those of all ranks, also where a draw is out of reach."""
+    rows = [(k, " ".join(f"w{(k * 31 + j * j) % (40 + k)}" for j in range(20 + 9 * k))) for k in range(30)]
+    rows += [(None, "word " * 50 + rows[20][1]), (31, None), (32, "a " * 300)]
+    docs = documents(rows)
+    exact = {(r["doc_id"], r["text_key"]): (r["own"], r["edit"])
+             for r in fingerprints._signed(fingerprints.with_edited(docs), 128).collect()}
+    for reach in (20.0, 3.0):
+        monkeypatch.setattr(fingerprints, "REACH", reach)
+        cut = fingerprints._signed(fingerprints.with_edited(docs), 128, True).collect()
+        assert any(r["short"] for r in cut) == (reach < 20)
+        assert all((r["own"], r["edit"]) == exact[r["doc_id"], r["text_key"]] for r in cut if not r["short"])
+        got = {(r["doc_id"], r["text_key"]): (r["own"], r["edit"]) for r in fingerprints._pairs(docs, 128).collect()}
+        assert len(got) == len(rows) and all(got[key] == value for key, value in exact.items())
+    monkeypatch.setattr(fingerprints, "LEAST_WORDS", 1 << 40)
+    whole = fingerprints._signed(fingerprints.with_edited(docs), 128, True).collect()
+    assert {(r["doc_id"], r["text_key"]): (r["own"], r["edit"]) for r in whole} == exact
+
+
+def test_few_ranks_are_worked_out(spark):
+    rows = spark.range(20000).selectExpr("xxhash64(id) as term", "0D as log_weight", "1D as single",
+                                         "20D / 500 as reach_weight", "cast(id % 4 as int) as block")
+    rows, drawn = fingerprints._drawn(rows, 1, True)
+    _, whole = fingerprints._drawn(rows.select("term", "log_weight", "block"), 1, False)
+    assert rows.select(drawn[0].alias("s")).where("s is not null").count() < 0.15 * 20000
+    # What is left out is above ln(20 / 500).
+    step = (-3.2188758 + 128) * 8388608
+    assert rows.where(drawn[0].isNull() & (whole[0] < int(step - 1) * 2 ** 32)).count() == 0
