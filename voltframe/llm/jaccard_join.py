@@ -46,7 +46,7 @@ from voltframe.llm.components import components
 
 #: Sets of a block of a coarse group that one task compares, and their n-grams: long sets make smaller blocks.
 BLOCK_SETS = 600
-BLOCK_GRAMS = 1 << 20
+BLOCK_GRAMS = 1 << 21
 #: Rows whose shingles and signatures are made side by side, and their n-grams.
 SLICE_ROWS = 2048
 SLICE_GRAMS = 1 << 18
@@ -263,17 +263,17 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def block_links(sets: list[np.ndarray], threshold: Threshold) -> Iterator[tuple[int, np.ndarray]]:
     """For each set that has any, the later ones (by size) that it links with.  ``sets`` ascend by size."""
     sizes = np.array([len(s) for s in sets], np.int64)
-    grams = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
-    names, codes, found = np.unique(grams, return_inverse=True, return_counts=True)
-    codes, n_names = codes.astype(np.int32), len(names)
-    del grams, names
-    by_gram = np.argsort(codes, kind="stable")
-    members = owner[by_gram]  # of each n-gram's list, ascending by size
+    # Numbers of 32 bits, found set by set: a block of long sets has millions of n-grams.
+    names = np.unique(np.concatenate(sets))
+    codes, n_names = np.concatenate([np.searchsorted(names, s).astype(np.int32) for s in sets]), len(names)
+    del names
+    found = np.bincount(codes, minlength=n_names).astype(np.int32)
+    members = owner[np.argsort(codes, kind="stable")]  # of each n-gram's list, ascending by size
     list_at = np.concatenate(([0], np.cumsum(found)))
     # Rare n-grams first; the prefix lists are ordered by position, so whole position blocks are skipped.
     bounds = np.concatenate(([0], np.cumsum(sizes)))
-    order = np.lexsort((codes, found[codes], owner))
+    order = np.lexsort((codes, found[codes], owner)).astype(np.int32)
     position = (np.arange(len(codes)) - np.repeat(bounds[:-1], sizes)).astype(np.int32)
     needed = threshold.overlap(sizes, -(-sizes * threshold.p // threshold.q))
     in_prefix = position < np.repeat(sizes - needed + 1, sizes)
@@ -282,7 +282,7 @@ def block_links(sets: list[np.ndarray], threshold: Threshold) -> Iterator[tuple[
     p_code, p_list, p_pos = p_code[by_position], p_owner[by_position], p_pos[by_position]
     p_at = np.searchsorted(p_code, np.arange(n_names + 1))
     p_key = p_code.astype(np.int64) << 32 | p_pos
-    del owner, by_gram, position, in_prefix, p_code, p_pos, by_position
+    del owner, position, in_prefix, p_code, p_pos, by_position
     last, answers = np.empty(0, np.int64), np.zeros(len(sets), np.int64)
     for x in range(len(sets) - 1):
         upper = int(np.searchsorted(sizes, sizes[x] * threshold.q // threshold.p, side="right"))
@@ -323,7 +323,7 @@ def _link(threshold: Threshold, table: pa.Table) -> pa.Table:
     across = table["block_a"][0].as_py() != table["block_b"][0].as_py()
     column = table["grams"].combine_chunks()
     starts, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
-    sets = [np.unique(values[starts[k]:starts[k + 1]]) for k in order]
+    sets = [values[starts[k]:starts[k + 1]] for k in order]  # ascending and distinct, as _named() made them
     links = np.zeros(len(ids), np.int64)
     roots = np.arange(len(ids))
 
