@@ -154,3 +154,82 @@ def test_long_sets_make_smaller_blocks_and_slices(spark, documents, monkeypatch)
     rows = family(random.Random(3), 40, 140)
     assert sorted(map(tuple, jaccard_join.join(documents(rows), 3, Threshold(9, 10)).collect())) == brute(rows, 3, 9, 10)
     assert largest[0] * 140 > 4 * 300
+
+
+def spy(monkeypatch, counted):
+    """Records the rows of each written table by its tag."""
+    def spied(df, tag, write=jaccard_join.staged):
+        out = write(df, tag)
+        counted.setdefault(tag, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "staged", spied)
+
+
+def test_common_passages_do_not_make_coarse_groups(spark, documents, monkeypatch):
+    """Each text shares half of its n-grams with the next, so no order of n-grams keeps them apart; none are linked."""
+    parts = [" ".join(f"p{k}w{j}" for j in range(40)) for k in range(41)]
+    rows = [(k, f"{parts[k]} {parts[k + 1]}") for k in range(40)]
+    rows += [(100, rows[5][1] + " more"), (101, rows[5][1])]
+    counted: dict = {}
+    spy(monkeypatch, counted)
+    got = sorted(map(tuple, jaccard_join.join(documents(rows), 3, Threshold(4, 5)).collect()))
+    assert got == brute(rows, 3, 4, 5)
+    assert counted["jaccard-shared"][0] >= 20 and counted["jaccard-coarse"] == [2]
+
+
+@pytest.mark.parametrize("p,q", [(4, 5), (9, 10), (2, 3)])
+def test_sketches_keep_every_link(p, q):
+    """At the very edge of a link, also when the sketches have different numbers of cells or full ones."""
+    import numpy as np
+    import pyarrow as pa
+    threshold, rng = Threshold(p, q), np.random.default_rng(q)
+    names = ["u", "v", "n_u", "n_v", "sketch_u", "sketch_v"]
+    rows, strange = [], []
+    for size in [*range(threshold.least_size, 40), 255, 256, 257, 300, 1030, 5000]:
+        a = np.unique(rng.integers(-2**62, 2**62, size))
+        least = threshold.overlap(len(a), len(a))
+        for b in (rng.choice(a, -(-p * len(a) // q), replace=False),
+                  np.append(rng.choice(a, least, replace=False), rng.integers(-2**62, 2**62, len(a) - least))):
+            b = np.unique(b)
+            assert q * len(np.intersect1d(a, b)) >= p * len(np.union1d(a, b))
+            rows.append((size, -size, len(a), len(b), jaccard_join._sketch(a), jaccard_join._sketch(b)))
+        b = np.unique(rng.integers(-2**62, 2**62, size))
+        strange.append((size, -size, len(a), len(b), jaccard_join._sketch(a), jaccard_join._sketch(b)))
+    # More n-grams than a cell can count.
+    full = bytes([255] * 32)
+    rows.append((1, 2, 20000, 20000, full, bytes([255] * 64)))
+
+    def kept(rows):
+        batch = pa.record_batch([pa.array(c) for c in zip(*rows)], names=names)
+        return sum(b.num_rows for b in jaccard_join._alike(threshold, iter([batch])))
+
+    assert kept(rows) == len(rows)
+    assert (p, q) == (2, 3) or kept([r for r in strange if r[0] >= 100]) == 0
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 100])
+def test_short_lists_give_pairs_and_long_ones_ties_wherever_a_batch_ends(monkeypatch, size):
+    import numpy as np
+    import pyarrow as pa
+    monkeypatch.setattr(jaccard_join, "LIST_SETS", 4)
+    lists = {-5: [(100, 10), (101, 11), (102, 11), (103, 12)],  # 100 and 103 are too far apart
+             3: [(k, 50) for k in range(200, 209)],
+             4: [(200, 50)], 9: [(300, 20), (300, 20), (301, 20), (302, 40)]}
+    rows = [(sign << jaccard_join.SIZE_BITS | n, owner) for sign, sets in lists.items() for owner, n in sets]
+    batches = [pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows[k:k + size])], names=["key", "set_id"])
+               for k in range(0, len(rows), size)]
+    got = {x for b in jaccard_join._listed(Threshold(9, 10), iter(batches)) for x in zip(*(c.to_pylist() for c in b.columns))}
+    pairs = {(a, b) for k in (-5, 9) for a, n in lists[k] for b, m in lists[k] if a < b and m * 9 <= n * 10}
+    assert {(u, v) for u, v, sure in got if not sure} == pairs and len(pairs) == 6
+    ties = {(u, v) for u, v, sure in got if sure}
+    assert ties == {(200, k) for k in range(201, 209)}
+
+
+def test_one_block_for_a_small_group(spark, documents, monkeypatch):
+    """Sets of a group that one block holds are sent once, whatever their classes of size."""
+    rows = family(random.Random(5), 40, 100)
+    counted: dict = {}
+    spy(monkeypatch, counted)
+    assert sorted(map(tuple, jaccard_join.join(documents(rows), 3, Threshold(9, 10)).collect())) == brute(rows, 3, 9, 10)
+    assert 0 < counted["jaccard-blocks"][0] <= counted["jaccard-coarse"][0]
