@@ -29,3 +29,18 @@ def test_stages_keep_the_columns(spark):
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns, name
         assert dict(out.dtypes) == dict(docs.dtypes), name
+
+
+def test_near_copies_are_found_without_large_groups_of_others(spark, documents, monkeypatch):
+    """Texts that share half of their n-grams with the next are not compared as whole sets."""
+    parts = [" ".join(f"p{k}w{j}" for j in range(40)) for k in range(31)]
+    rows = [(k, f"{parts[k]} {parts[k + 1]}") for k in range(30)] + [(50, f"{parts[3]} {parts[4]} more")]
+    sizes, compared = [], jaccard_join._compared
+
+    def spied(docs, groups, threshold, words):
+        sizes.append(groups.count())
+        return compared(docs, groups, threshold, words)
+
+    monkeypatch.setattr(jaccard_join, "_compared", spied)
+    got = corpus_pipeline.drop_near_copies(spark, documents(rows), SF)
+    assert sorted(r["doc_id"] for r in got.collect()) == list(range(30)) and sizes == [2]
